@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from inkwell.llm import mixing, near_dup, packing, quality, sharding, token_counts
+from inkwell.llm import mixing, near_dup, packing, pii, quality, sharding, token_counts
 
 
 def queries() -> dict:
     return {
         "op1_packing": packing.op1_packing,
         "op3_mixing": mixing.op3_mixing,
+        "op6_pii": pii.op6_pii,
         "op7_quality_rules": quality.op7_quality_rules,
         "op10_near_dup": near_dup.op10_near_dup,
         "op8_sharding": sharding.op8_sharding,
