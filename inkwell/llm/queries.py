@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from inkwell.llm import mixing, near_dup, packing, pii, quality, sharding, token_counts
+from inkwell.llm import fingerprints, html_text, mixing, near_dup, packing, pii, quality, sharding, token_counts, warc
 
 
 def queries() -> dict:
     return {
         "op1_packing": packing.op1_packing,
+        "op2_html_extraction": html_text.op2_html_extraction,
+        "op4_fingerprints": fingerprints.op4_fingerprints,
+        "op5_warc": warc.op5_warc,
         "op3_mixing": mixing.op3_mixing,
         "op6_pii": pii.op6_pii,
         "op7_quality_rules": quality.op7_quality_rules,
