@@ -28,16 +28,21 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut by a reliable checkpoint in the cluster's shared folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all of the cluster shares, from ``spark.checkpoint.dir``.
 
-    The folder comes from ``spark.checkpoint.dir``; only a session without one
-    (a local test) gets a folder of its own.
+    Only a session without one (a local test) gets a folder of its own.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="inkwell-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` with its lineage cut by a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -248,6 +248,22 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", *, keep: tup
     return docs.select(*dict.fromkeys((*keep, text))).mapInArrow(run, schema)
 
 
+def kept_documents(docs: DataFrame, model: Model | None, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that pass the rules and the model, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in common.text_slices(batches, text):
+            s = Slice.of([t.encode() for t in texts])
+            n_words, repeated = np.diff(s.word_at), repeated_words(s)
+            kept = ~((n_words < LEAST_WORDS) | (100 * repeated > MOST_REPEATED * n_words))
+            if shared.value:
+                kept &= shared.value.probabilities(s) >= threshold
+            yield batch.filter(pa.array(kept))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def quality_model(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
     return train(*labelled_sample(docs, labels, sample))
 
