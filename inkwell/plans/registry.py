@@ -1,23 +1,22 @@
-"""Names of the engine's queries, each with the SQL that it must agree with."""
+"""The engine's queries by name, each with the SQL that it must agree with."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-Query = Callable[[SparkSession, str], DataFrame]
+from inkwell.plans import catalog, jobs
+from inkwell.plans.catalog import Query
+
+MODULES = (jobs,)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs.groupBy("lang").agg(F.count("*").alias("n_docs"))
+    return queries()["jobs_dedup_first_wins"](spark, sf_dir)
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return dict(catalog.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(catalog.ORACLES)
