@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwell.plans import catalog, jobs, texts
+from inkwell.plans import catalog, jobs, models, texts
 from inkwell.plans.catalog import Query
 
-MODULES = (jobs, texts)
+MODULES = (jobs, models, texts)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
