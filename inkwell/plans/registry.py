@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwell.plans import catalog, jobs, models, texts
+from inkwell.plans import catalog, jobs, models, papers, texts
 from inkwell.plans.catalog import Query
 
-MODULES = (jobs, models, texts)
+MODULES = (jobs, models, papers, texts)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return queries()["jobs_dedup_first_wins"](spark, sf_dir)
+    return queries()["antibody_style_rules"](spark, sf_dir)
 
 
 def queries() -> dict[str, Query]:
