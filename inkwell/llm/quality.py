@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from inkwell.llm import common
 
-SAMPLE = 4000
+SAMPLE = 2000
 THRESHOLD = 0.5
 BITS = 16
 LEAST_WORDS = 10
@@ -161,7 +161,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def train(texts: list[str], good: np.ndarray, steps: int = 150, rate: float = 0.5, decay: float = 1e-5, held_out: float = 0.2) -> Model | None:
+def train(texts: list[str], good: np.ndarray, steps: int = 120, rate: float = 0.5, decay: float = 1e-5, held_out: float = 0.2) -> Model | None:
     """Logistic regression by Adam over all rows, then Platt scaling on held-out rows."""
     if len(texts) < 20 or len(np.unique(good)) < 2:
         return None
