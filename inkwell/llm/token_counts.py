@@ -68,19 +68,24 @@ class Transducer:
             self.compile({word})
         return self.emits[word]
 
+    def emit_all(self, maps: list[list[StateMap]]) -> None:
+        """Compile at once the words that whole texts' maps begin and end with."""
+        self.compile({w for own in maps for m in own[:1] + own[-1:] for w in (m.head, m.tail) if len(own) == 1})
+
     def state_maps(self, chunks: list[bytes]) -> list[StateMap]:
-        split = [c.split() for c in chunks]
-        self.compile(set().union(*split))
-        out = []
-        for c, words in zip(chunks, split, strict=True):
-            if len(words) == 1 and len(words[0]) == len(c) or not c:
-                out.append(StateMap(c, 0, b"", True))
-                continue
-            head = words[0] if words and c[0] not in SPACE else b""
-            tail = words[-1] if words and c[-1] not in SPACE else b""
-            count = sum(map(self.emits.__getitem__, words)) - self.emits[head] - self.emits[tail]
-            out.append(StateMap(head, count, tail, False))
-        return out
+        """Of chunks that may be cut within words, even within characters: only whole words are compiled."""
+        out: list[StateMap] = []
+        split: list[tuple[bytes, list[bytes], bytes]] = []
+        for c in chunks:
+            words = c.split()
+            head = words.pop(0) if words and c[0] not in SPACE else b""
+            whole = len(head) == len(c)
+            tail = words.pop() if words and c[-1] not in SPACE else b""
+            split.append((head, words, tail))
+            out.append(StateMap(head, 0, tail, whole))
+        self.compile(set().union(*(w for _, w, _ in split)))
+        get = self.emits.__getitem__
+        return [m._replace(count=sum(map(get, w))) for m, (_, w, _) in zip(out, split, strict=True)]
 
     def compose(self, a: StateMap, b: StateMap) -> StateMap:
         if a.whole:
@@ -116,8 +121,10 @@ def count_tokens(df: DataFrame, text: str = "text", *, path: str | None = None,
         for batch, texts in common.text_slices(batches, text):
             data = [t.encode() for t in texts]
             pieces = [[d[k : k + chunk_bytes] for k in range(0, len(d), chunk_bytes)] for d in data]
-            maps = iter(machine.state_maps([p for own in pieces for p in own]))
-            counts = [machine.total([next(maps) for _ in own]) for own in pieces]
+            made = iter(machine.state_maps([p for own in pieces for p in own]))
+            maps = [[next(made) for _ in own] for own in pieces]
+            machine.emit_all(maps)
+            counts = [machine.total(own) for own in maps]
             columns = [batch.column(k) for k in keep] + [pa.array([len(d) for d in data], pa.int64()), pa.array(counts, pa.int64()), pa.array([n > limit for n in counts])]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "n_bytes", "n_tokens", "over_limit"])
 
