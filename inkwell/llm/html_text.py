@@ -5,8 +5,9 @@ block alone: what stands in menus, headers, footers, sidebars, notices,
 adverts, forms or reader comments (by element, or by class and id words) and
 what is mostly links is boilerplate; long blocks with many stop words are
 text; other long blocks without are boilerplate. The second pass gives
-ambiguous blocks the label of the nearest decided neighbours, where the edge
-of an article or main element counts as a decided neighbour of its inside.
+ambiguous blocks the label of the nearest neighbours that their own text
+decided (what an element or class decided says nothing about its neighbours);
+the edge of an article or main element counts as text for its inside.
 
 Scripts, styles, comments and forms never become blocks. One linear pass over
 the markup; memory in proportion to one page.
@@ -170,7 +171,7 @@ def classify(page: list[Block]) -> list[bool]:
         elif not k and b.article:
             last = True
         before.append(last)
-        last = d if d is not None else last
+        last = d if d is not None and not b.boiler else last
     after: bool | None = None
     behind: list[bool | None] = [None] * len(page)
     for k in range(len(page) - 1, -1, -1):
@@ -179,13 +180,13 @@ def classify(page: list[Block]) -> list[bool]:
         elif k + 1 < len(page) and page[k].article != page[k + 1].article:
             after = None
         behind[k] = after
-        after = first[k] if first[k] is not None else after
+        after = first[k] if first[k] is not None and not page[k].boiler else after
     for b, d, x, y in zip(page, first, before, behind, strict=True):
         if d is not None:
             out.append(d)
         elif x is not None and y is not None and x != y:
             # Between the two: long enough to read, or a heading of what follows.
-            out.append(y if b.heading else len(b.text) >= SHORT)
+            out.append(b.article or (y if b.heading else len(b.text) >= SHORT))
         else:
             near = x if x is not None else y
             out.append(bool(near) if near is not None else len(b.text) >= SHORT)
