@@ -91,7 +91,8 @@ def draw_slots(sources: DataFrame, block: int = BLOCK, most: int = MOST, shard_s
     planned = planned.withColumn("n_shards", shards).where("n_slots > 0")
     # Slots come from their chunk, not from their source: a large source is spread over tasks.
     chunks = planned.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_slots") - 1) / CHUNK_SLOTS))))
-    chunks = chunks.repartition("sid", "chunk")
+    # A stated number of partitions, which adaptive execution does not merge although the rows are few.
+    chunks = chunks.repartition(int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")), "sid", "chunk")
     first = F.col("chunk") * CHUNK_SLOTS
     slots = chunks.withColumn("slot", F.explode(F.sequence(first, F.least(first + CHUNK_SLOTS, F.col("n_slots")) - 1)))
     epoch, index = F.floor(F.col("slot") / F.col("n_blocks")), F.col("slot") % F.col("n_blocks")
@@ -114,7 +115,8 @@ def taken_words(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: in
     pieces = held.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block), last)))
     words = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(F.col("start"), F.col("block") * block)
     own = ["sid", "start", "doc_id", "source", "size", "source_size", "target"]
-    taken = pieces.withColumn("words", words).join(times, ["sid", "block"], "left").groupBy(*own).agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).cast("long").alias("taken"))
+    # Merged, not broadcast: the planner can't see how many rows the explodes above make.
+    taken = pieces.withColumn("words", words).join(times.hint("merge"), ["sid", "block"], "left").groupBy(*own).agg(F.sum(F.col("words") * F.coalesce("times", F.lit(0))).cast("long").alias("taken"))
     columns = ["doc_id", "source", "size", "source_size", "target", "taken"]
     return taken.select(*columns).unionByName(known.where("size = 0").withColumn("taken", F.lit(0).cast("long")).select(*columns))
 
@@ -134,7 +136,7 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most:
     taken = taken_words(document_sizes(docs), weights, most, block)
     share = taken.where("size > 0").groupBy("doc_id", "source").agg((F.sum("taken") / F.sum("size")).alias("__share"))
     share = share.withColumnsRenamed({"doc_id": "__doc_id", "source": "__source"})
-    joined = docs.join(share, docs["doc_id"].eqNullSafe(F.col("__doc_id")) & docs["source"].eqNullSafe(F.col("__source")))
+    joined = docs.join(share.hint("merge"), docs["doc_id"].eqNullSafe(F.col("__doc_id")) & docs["source"].eqNullSafe(F.col("__source")))
     copies = F.floor(F.col("__share") + common.uniform(F.col("__doc_id"), F.col("__source"), seed=23)).cast("int")
     return joined.withColumn("__copies", copies).where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
 
