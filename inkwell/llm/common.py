@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -41,9 +42,25 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut by a reliable checkpoint in the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """``df`` with its lineage cut: written once as a table in the shared folder, and read again.
+
+    Unlike ``checkpoint()``, which runs its last stage twice, this computes
+    ``df`` once; the files are compressed and any executor reads them.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/inkwell-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._inkwell_path = path
+    return out
+
+
+def drop(df: DataFrame | None) -> None:
+    """Delete the files of a table that ``cut`` made, when nothing reads it any more."""
+    if path := getattr(df, "_inkwell_path", None):
+        jvm = df.sparkSession.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:

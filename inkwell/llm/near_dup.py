@@ -1,18 +1,18 @@
 """Near-duplicate documents: banded MinHash, odd sketches, exact confirmation.
 
 1. One pass over the texts gives each document's set of 5-word shingles (as
-   64-bit hashes) in short form: its size, a 128-bit digest, MinHash bands and
-   an odd sketch, a parity bitmap into which the MinHash samples are folded.
+   64-bit hashes) in short form: its size, a 128-bit digest and MinHash bands.
    Documents of equal digest are one node from here on, so exact copies are
-   never compared or expanded.
+   never compared or expanded. Nodes that share a band with another get an odd
+   sketch, a parity bitmap into which MinHash samples are folded.
 2. Nodes that share a band are candidates. 28 bands of 6 rows miss a pair of
    Jaccard similarity 0.85 with probability below 2e-6.
 3. No bucket is expanded into all its pairs. In each round, every bucket that
-   still holds two components or more compares its members with a few hubs,
-   then drops the hubs, all of whose pairs it has now decided. Small buckets
-   are done in a round; in large ones links merge components and most pairs
-   need no comparison. Rounds go on, with more hubs each, until every bucket
-   is decided: there is no cap, only work that shrinks.
+   still holds two components or more compares its members with a few hubs of
+   other components, then drops the hubs, all of whose pairs it has now
+   decided. Links merge components, so most pairs of a large group need no
+   comparison. Rounds go on, with more hubs each, until every bucket is
+   decided: there is no cap, only work that shrinks.
 4. Candidate pairs are dropped by size, then by odd sketch: the population
    count of the XOR of two sketches estimates the similarity, most precisely
    where it is high. What is left is confirmed on the full sets.
@@ -46,10 +46,11 @@ from inkwell.llm.quality import ODD, Slice, mix, windows
 SHINGLE = 5
 PERCENT = 85
 BANDS, ROWS = 28, 6
-SKETCH_BITS = 512
-#: Pairs of lower estimated similarity are not confirmed: over five standard errors below the threshold.
-LEAST_ESTIMATE = 0.68
-SMALL_BUCKET = 8
+#: MinHash samples and bits of the short and the long odd sketch, and the
+#: estimates below which a pair isn't confirmed: five standard errors below 0.85.
+SHORT, SHORT_LEAST = (672, 1024), 0.77
+LONG, LONG_LEAST = (2048, 2048), 0.80
+SMALL_BUCKET = 4
 
 
 def shingle_sets(s: Slice, n: int = SHINGLE) -> list[np.ndarray]:
@@ -66,26 +67,39 @@ def shingle_sets(s: Slice, n: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
-def sketches(sets: list[np.ndarray], bands: int = BANDS, rows: int = ROWS, bits: int = SKETCH_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Band keys and odd sketches (both int64) of sets that aren't empty."""
-    k = bands * rows
-    rng = np.random.default_rng(20240607)
+def samples_of(sets: list[np.ndarray], k: int, seed: int) -> np.ndarray:
+    """[set, k] MinHash samples of sets that aren't empty."""
+    rng = np.random.default_rng(seed)
     a = (rng.integers(0, 2**63, k, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
     b = rng.integers(0, 2**63, k, dtype=np.uint64)
     least = np.full((len(sets), k), ~np.uint64(0), dtype=np.uint64)
+    width = max(16, 65536 // k)
     for i, own in enumerate(sets):
-        for first in range(0, len(own), 512):
-            part = own[first : first + 512]
+        for first in range(0, len(own), width):
+            part = own[first : first + width]
             np.minimum(least[i], (a[:, None] * part[None, :] + b[:, None]).min(axis=1), out=least[i])
-    least = mix(least)
+    return mix(least)
+
+
+def band_keys(sets: list[np.ndarray], bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+    """[set, band] keys: a band's hashed samples and its number."""
+    least = samples_of(sets, bands * rows, 20240607)
     keys = np.zeros((len(sets), bands), dtype=np.uint64)
     for r in range(rows):
         keys = mix(keys * ODD + least[:, r::rows])
-    keys += np.arange(bands, dtype=np.uint64) * ODD
-    bit = mix(least + np.arange(k, dtype=np.uint64) * ODD) >> np.uint64(64 - (bits - 1).bit_length())
-    flat = np.bincount((np.arange(len(sets))[:, None] * bits + bit.astype(np.int64)).ravel(), minlength=len(sets) * bits) & 1
-    packed = np.packbits(flat.astype(np.uint8).reshape(len(sets), bits), axis=1)
-    return keys.view(np.int64), packed.view(np.int64)
+    return (keys + np.arange(bands, dtype=np.uint64) * ODD).view(np.int64)
+
+
+def odd_sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """[set, word]: the short bitmap, then the long one, in which each sample has flipped the bit that it hashes to."""
+    least = samples_of(sets, LONG[0], 20240608)
+    hashed = mix(least + np.arange(LONG[0], dtype=np.uint64) * ODD)
+    out = []
+    for k, bits in (SHORT, LONG):
+        bit = (hashed[:, :k] >> np.uint64(64 - (bits - 1).bit_length())).astype(np.int64)
+        flat = np.bincount((np.arange(len(sets))[:, None] * bits + bit).ravel(), minlength=len(sets) * bits) & 1
+        out.append(np.packbits(flat.astype(np.uint8).reshape(len(sets), bits), axis=1).view(np.int64))
+    return np.concatenate(out, axis=1)
 
 
 def digest(own: np.ndarray) -> bytes:
@@ -93,48 +107,60 @@ def digest(own: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, n_shingles, node, digest, bands, sketch; the last four null without shingles."""
+    """key, n_shingles, node, digest, bands; the last three null without shingles."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in common.text_slices(batches, text):
             sets = shingle_sets(Slice.of([t.encode().lower() for t in texts]))
             full = [i for i, own in enumerate(sets) if len(own)]
-            keys, odd = sketches([sets[i] for i in full])
             digests: list = [None] * len(sets)
-            band_rows, odd_rows = list(digests), list(digests)
-            for i, k, o in zip(full, keys, odd, strict=True):
-                digests[i], band_rows[i], odd_rows[i] = digest(sets[i]), k, o
+            bands = list(digests)
+            for i, k in zip(full, band_keys([sets[i] for i in full]), strict=True):
+                digests[i], bands[i] = digest(sets[i]), k
             node = [d and int.from_bytes(d[:8], "little", signed=True) for d in digests]
-            columns = [batch.column(key), pa.array(list(map(len, sets)), pa.int64()), pa.array(node, pa.int64()), pa.array(digests, pa.binary()), pa.array(band_rows, pa.list_(pa.int64())), pa.array(odd_rows, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=[key, "n_shingles", "node", "digest", "bands", "sketch"])
+            columns = [batch.column(key), pa.array(list(map(len, sets)), pa.int64()), pa.array(node, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=[key, "n_shingles", "node", "digest", "bands"])
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_shingles long, node long, digest binary, bands array<long>, sketch array<long>")
+    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_shingles long, node long, digest binary, bands array<long>")
 
 
 def full_sets(docs: DataFrame, text: str = "text") -> DataFrame:
-    """node, shingles: the whole set of each text that has one."""
+    """node, shingles, sketch: the whole set of each text that has one, and its odd sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in common.text_slices(batches, text):
             sets = [s for s in shingle_sets(Slice.of([t.encode().lower() for t in texts])) if len(s)]
             node = [int.from_bytes(digest(s)[:8], "little", signed=True) for s in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "shingles"])
+            lists = [[s.view(np.int64) for s in sets], list(odd_sketches(sets))]
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), *(pa.array(x, pa.list_(pa.int64())) for x in lists)], names=["node", "shingles", "sketch"])
+
+    return docs.select(text).mapInArrow(run, "node long, shingles array<long>, sketch array<long>")
+
+
+def estimate(odd: Column, samples: int, bits: int) -> Column:
+    """Jaccard similarity of two sets from how many bits their odd sketches differ in."""
+    return 1 + F.lit(bits / (4.0 * samples)) * F.ln(F.greatest(F.lit(1e-9), 1 - 2 * odd.cast("double") / bits))
 
-    return docs.select(text).mapInArrow(run, "node long, shingles array<long>")
 
+def likely_link(a: Column, b: Column) -> Column:
+    """Whether both sketches allow a link: the short one in generated code, the long one where that passes."""
+    short = SHORT[1] // 64
+    first = reduce(lambda x, y: x + y, [F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(short)])
+    differing = F.zip_with(F.slice(a, short + 1, LONG[1] // 64), F.slice(b, short + 1, LONG[1] // 64), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    second = F.aggregate(differing, F.lit(0), lambda s, x: s + x)
+    return (estimate(first, *SHORT) >= SHORT_LEAST) & (estimate(second, *LONG) >= LONG_LEAST)
 
-def estimate(a: Column, b: Column, samples: int = BANDS * ROWS, bits: int = SKETCH_BITS) -> Column:
-    """Jaccard similarity of two sets from their odd sketches' XOR."""
-    words = [F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(bits // 64)]
-    odd = reduce(lambda x, y: x + y, words).cast("double")
-    share = F.greatest(F.lit(1e-9), 1 - 2 * odd / bits)
-    return 1 + F.lit(bits / (4.0 * samples)) * F.ln(share)
+
+def is_star(edges: DataFrame) -> bool:
+    """Whether each node points at one root, and no root points on."""
+    ends = edges.select(F.col("a").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("in")).union(edges.select("b", F.lit(0), F.lit(1)))
+    return ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("in").alias("in")).where("out > 1 or (out = 1 and in = 1)").isEmpty()
 
 
 def stars(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b) that isn't its component's smallest."""
-    edges = edges.where("a <> b").distinct()
+    edges, old = edges.where("a <> b").distinct(), None
     while True:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -142,59 +168,70 @@ def stars(edges: DataFrame) -> DataFrame:
         below = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(below, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").union(below.select("u", "m"))
         made = common.cut(small.distinct())
-        # Stars are stable: each node points at its root, and no root points on.
-        if made.select("a").distinct().count() == made.count() and made.join(made.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
+        common.drop(old)
+        if is_star(made):
             return made.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        edges = made
-
-
-def candidates(members: DataFrame, hubs: int) -> tuple[DataFrame, DataFrame]:
-    """Undecided pairs (a, b) of this round, and its hubs (key, node) by bucket."""
-    # min_by over a hash draws hubs with a partial aggregate of fixed width.
-    drawn = [F.min_by(c, F.xxhash64("node", F.lit(hubs * 1000 + j))).alias(f"{c}_{j}") for j in range(max(2, hubs)) for c in ("node", "comp")]
-    buckets = members.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"),
-        F.min_by("node", "node").alias("node_f"), F.min_by("comp", "node").alias("comp_f"),
-        F.max_by("node", "node").alias("node_l"), F.max_by("comp", "node").alias("comp_l"), *drawn,
-    ).where("low <> high")
-    pair = lambda j: F.struct(F.col(f"node_{j}").alias("hub"), F.col(f"comp_{j}").alias("hub_comp"))
-    few = F.array_distinct(F.array(*map(pair, ("f", "l", 0, 1))))
-    many = F.array_distinct(F.array(*map(pair, range(hubs))))
-    buckets = common.cut(buckets.select("key", F.when(F.col("n") <= SMALL_BUCKET, few).otherwise(many).alias("hubs")))
-    met = members.join(buckets, "key").select("node", "comp", F.explode(F.expr("filter(hubs, h -> h.hub <> node and h.hub_comp <> comp)")).alias("h"))
-    pairs = met.select(F.least("node", "h.hub").alias("a"), F.greatest("node", "h.hub").alias("b")).distinct()
-    return pairs, buckets.select("key", F.explode("hubs.hub").alias("node"))
+        edges = old = made
+
+
+def hubs_of(members: DataFrame, hubs: int) -> DataFrame:
+    """key, node, comp, hub for the buckets that still hold two components or more.
+
+    A bucket's lowest node is a hub, and so are about ``hubs`` others drawn by a hash.
+    """
+    buckets = members.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("node").alias("lowest")).where("low <> high")
+    drawn = F.pmod(F.xxhash64("node", "key", F.lit(hubs)), F.greatest(F.lit(1), F.ceil(F.col("n") / hubs))) == 0
+    hub = (F.col("node") == F.col("lowest")) | (drawn if hubs > 1 else F.col("n") <= SMALL_BUCKET)
+    return members.join(buckets.select("key", "n", "lowest"), "key").select("key", "node", "comp", hub.alias("hub"))
+
+
+def candidates(live: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Undecided pairs (a, b, n_a, n_b) of members and hubs of other components.
+
+    Sizes and odd sketches are compared within the join, so pairs that can't
+    be links are never rows. A pair belongs to the lowest key that both have:
+    it is a row once, in the round that makes either a hub there.
+    """
+    own = live.where("hub").select("key", *[F.col(c).alias(f"h_{c}") for c in ("node", "comp", "n", "sketch", "bands")])
+    first = F.array_min(F.array_intersect("bands", "h_bands")) == F.col("key")
+    near = likely_link(F.col("sketch"), F.col("h_sketch"))
+    sized = F.expr(f"100 * least(n, h_n) >= {percent} * greatest(n, h_n)")
+    met = live.drop("hub").withColumnRenamed("key", "__key").join(own, (F.col("__key") == F.col("key")) & (F.col("comp") != F.col("h_comp")) & sized & near & first)
+    low = F.col("node") < F.col("h_node")
+    one, two = (lambda c: F.when(low, F.col(c)).otherwise(F.col(f"h_{c}"))), (lambda c: F.when(low, F.col(f"h_{c}")).otherwise(F.col(c)))
+    return met.select(one("node").alias("a"), two("node").alias("b"), one("n").alias("n_a"), two("n").alias("n_b")).distinct()
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """key, n_shingles, component_id (the smallest key reachable by links) and kept, for each row."""
     rows = common.cut(signatures(docs, key, text))
-    nodes = common.cut(rows.where("n_shingles > 0").groupBy("node").agg(F.min(key).alias("first"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
+    nodes = common.cut(rows.where("n_shingles > 0").groupBy("node").agg(F.min(key).alias("first"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
     banded = nodes.select("node", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("__n")).where("__n > 1").select("key")
     members = common.cut(banded.join(shared, "key").select("key", "node", F.col("node").alias("comp")))
-    known = nodes.select("node", "n", "sketch").join(members.select("node").distinct(), "node")
-    known = common.cut(known)
-    firsts = nodes.join(known.select("node"), "node", "left_semi").select(F.col("first").alias("__first"))
+    own = members.select("node").distinct()
+    firsts = nodes.join(own, "node", "left_semi").select(F.col("first").alias("__first"))
     owners = docs.join(firsts.distinct(), docs[key].eqNullSafe(F.col("__first")), "left_semi")
-    sets = common.cut(full_sets(owners, text).join(known.select("node"), "node", "left_semi").dropDuplicates(["node"]))
-    roots = None
-    hubs = 1
+    sets = common.cut(full_sets(owners, text).join(own, "node", "left_semi").dropDuplicates(["node"]))
+    known = nodes.select("node", "n", "bands").join(sets.select("node", "sketch"), "node")
+    roots, hubs = None, 1
     while True:
-        pairs, decided = candidates(members, hubs)
-        if decided.isEmpty():
+        live = common.cut(hubs_of(members, hubs).join(known, "node"))
+        if live.isEmpty():
             break
-        a, b = (known.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}")) for x in "ab")
-        likely = pairs.join(a, "a").join(b, "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").where(estimate(F.col("sketch_a"), F.col("sketch_b")) >= LEAST_ESTIMATE)
-        likely = common.cut(likely.select("a", "b", "n_a", "n_b"))
+        likely = candidates(live, percent)
         whole_a, whole_b = (sets.select(F.col("node").alias(x), F.col("shingles").alias(f"set_{x}")) for x in "ab")
         both = F.size(F.array_intersect("set_a", "set_b"))
         links = likely.join(whole_a, "a").join(whole_b, "b").where(100 * both >= percent * (F.col("n_a") + F.col("n_b") - both)).select("a", "b")
-        links = links if roots is None else links.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        roots = stars(links)
-        left = members.join(decided, ["key", "node"], "left_anti").select("key", "node")
-        members = common.cut(left.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("comp")))
-        hubs = min(2 * hubs, 64)
+        links = common.cut(links)
+        if not links.isEmpty():
+            roots = stars(links if roots is None else links.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        left = live.where("not hub").select("key", "node")
+        if roots is not None:
+            left = left.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("comp"))
+        else:
+            left = left.withColumn("comp", F.col("node"))
+        members, hubs = left, min(16 * hubs, 4096)
     named = nodes.select("node", "first", "copies")
     if roots is not None:
         named = named.join(roots, "node", "left").select("node", "first", "copies", F.coalesce("root", "node").alias("root"))
