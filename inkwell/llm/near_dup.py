@@ -50,7 +50,6 @@ BANDS, ROWS = 28, 6
 #: estimates below which a pair isn't confirmed: five standard errors below 0.85.
 SHORT, SHORT_LEAST = (672, 1024), 0.77
 LONG, LONG_LEAST = (2048, 2048), 0.80
-SMALL_BUCKET = 4
 
 
 def shingle_sets(s: Slice, n: int = SHINGLE) -> list[np.ndarray]:
@@ -158,16 +157,22 @@ def is_star(edges: DataFrame) -> bool:
     return ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("in").alias("in")).where("out > 1 or (out = 1 and in = 1)").isEmpty()
 
 
+def star_step(edges: DataFrame) -> DataFrame:
+    """Edges (a, b) after a large-star and a small-star step: the same components, closer to stars."""
+    edges = edges.where("a <> b")
+    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+    below = large.groupBy("u").agg(F.min("v").alias("m"))
+    small = large.join(below, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").union(below.select("u", "m"))
+    return common.cut(small.distinct())
+
+
 def stars(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b) that isn't its component's smallest."""
-    edges, old = edges.where("a <> b").distinct(), None
+    old = None
     while True:
-        both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        below = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(below, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").union(below.select("u", "m"))
-        made = common.cut(small.distinct())
+        made = star_step(edges)
         common.drop(old)
         if is_star(made):
             return made.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -181,7 +186,7 @@ def hubs_of(members: DataFrame, hubs: int) -> DataFrame:
     """
     buckets = members.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("node").alias("lowest")).where("low <> high")
     drawn = F.pmod(F.xxhash64("node", "key", F.lit(hubs)), F.greatest(F.lit(1), F.ceil(F.col("n") / hubs))) == 0
-    hub = (F.col("node") == F.col("lowest")) | (drawn if hubs > 1 else F.col("n") <= SMALL_BUCKET)
+    hub = (F.col("node") == F.col("lowest")) | drawn
     return members.join(buckets.select("key", "n", "lowest"), "key").select("key", "node", "comp", hub.alias("hub"))
 
 
@@ -214,7 +219,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", percent
     owners = docs.join(firsts.distinct(), docs[key].eqNullSafe(F.col("__first")), "left_semi")
     sets = common.cut(full_sets(owners, text).join(own, "node", "left_semi").dropDuplicates(["node"]))
     known = nodes.select("node", "n", "bands").join(sets.select("node", "sketch"), "node")
-    roots, hubs = None, 1
+    edges, hubs = None, 16
     while True:
         live = common.cut(hubs_of(members, hubs).join(known, "node"))
         if live.isEmpty():
@@ -224,16 +229,19 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", percent
         both = F.size(F.array_intersect("set_a", "set_b"))
         links = likely.join(whole_a, "a").join(whole_b, "b").where(100 * both >= percent * (F.col("n_a") + F.col("n_b") - both)).select("a", "b")
         links = common.cut(links)
-        if not links.isEmpty():
-            roots = stars(links if roots is None else links.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
         left = live.where("not hub").select("key", "node")
-        if roots is not None:
-            left = left.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("comp"))
-        else:
+        if not links.isEmpty():
+            # One step a round: components may be behind, which costs comparisons, not links.
+            edges = star_step(links if edges is None else links.union(edges))
+        if edges is None:
             left = left.withColumn("comp", F.col("node"))
+        else:
+            nearest = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
+            left = left.join(nearest, "node", "left").select("key", "node", F.coalesce("root", "node").alias("comp"))
         members, hubs = left, min(16 * hubs, 4096)
     named = nodes.select("node", "first", "copies")
-    if roots is not None:
+    if edges is not None:
+        roots = stars(edges)
         named = named.join(roots, "node", "left").select("node", "first", "copies", F.coalesce("root", "node").alias("root"))
         ends = roots.select("root").distinct()
         least = named.join(ends, "root", "left_semi").groupBy("root").agg(F.min("first").alias("least"))
