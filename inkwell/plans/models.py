@@ -113,7 +113,7 @@ def best_threshold(spark: SparkSession, sf: str) -> DataFrame:
 @query("E15", """
 WITH p AS (SELECT quality AS y, CASE WHEN n_chars > 800 THEN 1 ELSE 0 END AS q FROM labels JOIN documents USING (doc_id)), c AS (SELECT unnest([0, 1]) AS class),
 t AS (SELECT class, count(CASE WHEN y = class THEN 1 END) AS support, count(CASE WHEN q = class THEN 1 END) AS predicted, count(CASE WHEN y = class AND q = class THEN 1 END) AS hit FROM c, p GROUP BY 1)
-SELECT class, support, round(hit / predicted, 9) AS precision, round(hit / support, 9) AS recall, round(2 * (hit / predicted) * (hit / support) / ((hit / predicted) + (hit / support)), 9) AS f1 FROM t""")
+SELECT class, support, round(p, 9) AS precision, round(r, 9) AS recall, round(coalesce(2 * p * r / nullif(p + r, 0), 0), 9) AS f1 FROM (SELECT *, coalesce(hit / nullif(predicted, 0), 0) AS p, coalesce(hit / nullif(support, 0), 0) AS r FROM t)""")
 def precision_recall_f1(spark: SparkSession, sf: str) -> DataFrame:
     joined = table(spark, sf, "labels").join(table(spark, sf, "documents").select("doc_id", "n_chars"), "doc_id")
     scored = ml.confusion(joined.withColumn("predicted", F.when(F.col("n_chars") > 800, 1).otherwise(0)), "quality", "predicted")
