@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from inkwell.llm import common, mixing, near_dup, packing, pii, quality
 
 ORACLE_SQL = None
+#: Similarity in percent from which documents are near copies; 85 is op10's own threshold.
+NEAR_PERCENT = 80
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +33,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dup.unique_documents(docs)
+    return near_dup.unique_documents(docs, NEAR_PERCENT)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

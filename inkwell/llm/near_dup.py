@@ -5,8 +5,9 @@
    Documents of equal digest are one node from here on, so exact copies are
    never compared or expanded. Nodes that share a band with another get an odd
    sketch, a parity bitmap into which MinHash samples are folded.
-2. Nodes that share a band are candidates. 28 bands of 6 rows miss a pair of
-   Jaccard similarity 0.85 with probability below 2e-6.
+2. Nodes that share a band are candidates. The bands follow from the threshold:
+   28 bands of 6 rows miss a pair of Jaccard similarity 0.85 with probability
+   below 2e-6, and so do 34 bands of 5 rows one of 0.80.
 3. No bucket is expanded into all its pairs. In each round, every bucket that
    still holds two components or more compares its members with a few hubs of
    other components, then drops the hubs, all of whose pairs it has now
@@ -32,6 +33,7 @@ empty table gives no row. Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -45,11 +47,28 @@ from inkwell.llm.quality import ODD, Slice, mix, windows
 
 SHINGLE = 5
 PERCENT = 85
-BANDS, ROWS = 28, 6
-#: MinHash samples and bits of the short and the long odd sketch, and the
-#: estimates below which a pair isn't confirmed: five standard errors below 0.85.
-SHORT, SHORT_LEAST = (672, 1024), 0.77
-LONG, LONG_LEAST = (2048, 2048), 0.80
+#: With which probability a pair at the threshold may share no band, and the most MinHash samples of all bands.
+MISSED, SAMPLES = 2e-6, 176
+#: MinHash samples and bits of the short and the long odd sketch.
+SHORT, LONG = (672, 1024), (2048, 2048)
+
+
+def bands_of(percent: int) -> tuple[int, int]:
+    """Bands and rows a band: the longest bands that within ``SAMPLES`` miss a pair at the threshold with probability ``MISSED`` at most."""
+    likeness = min(percent, 99) / 100
+    fits = [(math.ceil(math.log(MISSED) / math.log1p(-(likeness**rows))), rows) for rows in range(1, 17)]
+    return max((f for f in fits if f[0] * f[1] <= SAMPLES), key=lambda f: f[1], default=fits[0])
+
+
+def least_estimate(percent: int, samples: int, bits: int) -> float:
+    """The estimate below which a pair isn't confirmed: five standard errors below the threshold.
+
+    Both the samples drawn and the bits on which several of them fell vary.
+    """
+    likeness = percent / 100
+    flips = 2 * samples * (1 - likeness)
+    folded = (bits / 4 * math.expm1(4 * flips / bits) - flips) / (2 * samples) ** 2
+    return math.floor(100 * (likeness - 5 * math.sqrt(likeness * (1 - likeness) / samples + folded))) / 100
 
 
 def shingle_sets(s: Slice, n: int = SHINGLE) -> list[np.ndarray]:
@@ -80,7 +99,7 @@ def samples_of(sets: list[np.ndarray], k: int, seed: int) -> np.ndarray:
     return mix(least)
 
 
-def band_keys(sets: list[np.ndarray], bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+def band_keys(sets: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
     """[set, band] keys: a band's hashed samples and its number."""
     least = samples_of(sets, bands * rows, 20240607)
     keys = np.zeros((len(sets), bands), dtype=np.uint64)
@@ -105,9 +124,10 @@ def digest(own: np.ndarray) -> bytes:
     return hashlib.blake2b(own.tobytes(), digest_size=16).digest()
 
 
-def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """key, n_shingles, node, digest, bands; the last three null without shingles."""
     kind = docs.schema[key].dataType.simpleString()
+    shape = bands_of(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in common.text_slices(batches, text):
@@ -115,7 +135,7 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
             full = [i for i, own in enumerate(sets) if len(own)]
             digests: list = [None] * len(sets)
             bands = list(digests)
-            for i, k in zip(full, band_keys([sets[i] for i in full]), strict=True):
+            for i, k in zip(full, band_keys([sets[i] for i in full], *shape), strict=True):
                 digests[i], bands[i] = digest(sets[i]), k
             node = [d and int.from_bytes(d[:8], "little", signed=True) for d in digests]
             columns = [batch.column(key), pa.array(list(map(len, sets)), pa.int64()), pa.array(node, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
@@ -142,13 +162,13 @@ def estimate(odd: Column, samples: int, bits: int) -> Column:
     return 1 + F.lit(bits / (4.0 * samples)) * F.ln(F.greatest(F.lit(1e-9), 1 - 2 * odd.cast("double") / bits))
 
 
-def likely_link(a: Column, b: Column) -> Column:
+def likely_link(a: Column, b: Column, percent: int = PERCENT) -> Column:
     """Whether both sketches allow a link: the short one in generated code, the long one where that passes."""
     short = SHORT[1] // 64
     first = reduce(lambda x, y: x + y, [F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(short)])
     differing = F.zip_with(F.slice(a, short + 1, LONG[1] // 64), F.slice(b, short + 1, LONG[1] // 64), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
     second = F.aggregate(differing, F.lit(0), lambda s, x: s + x)
-    return (estimate(first, *SHORT) >= SHORT_LEAST) & (estimate(second, *LONG) >= LONG_LEAST)
+    return (estimate(first, *SHORT) >= least_estimate(percent, *SHORT)) & (estimate(second, *LONG) >= least_estimate(percent, *LONG))
 
 
 def is_star(edges: DataFrame) -> bool:
@@ -199,7 +219,7 @@ def candidates(live: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     own = live.where("hub").select("key", *[F.col(c).alias(f"h_{c}") for c in ("node", "comp", "n", "sketch", "bands")])
     first = F.array_min(F.array_intersect("bands", "h_bands")) == F.col("key")
-    near = likely_link(F.col("sketch"), F.col("h_sketch"))
+    near = likely_link(F.col("sketch"), F.col("h_sketch"), percent)
     sized = F.expr(f"100 * least(n, h_n) >= {percent} * greatest(n, h_n)")
     met = live.drop("hub").withColumnRenamed("key", "__key").join(own, (F.col("__key") == F.col("key")) & (F.col("comp") != F.col("h_comp")) & sized & near & first)
     low = F.col("node") < F.col("h_node")
@@ -209,7 +229,7 @@ def candidates(live: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """key, n_shingles, component_id (the smallest key reachable by links) and kept, for each row."""
-    rows = common.cut(signatures(docs, key, text))
+    rows = common.cut(signatures(docs, key, text, percent))
     nodes = common.cut(rows.where("n_shingles > 0").groupBy("node").agg(F.min(key).alias("first"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
     banded = nodes.select("node", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("__n")).where("__n > 1").select("key")
@@ -253,9 +273,9 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", percent
     return joined.select(key, "n_shingles", component.alias("component_id")).withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
 
 
-def unique_documents(docs: DataFrame) -> DataFrame:
+def unique_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` without the documents that another of their component stands for."""
-    kept = components(docs).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
+    kept = components(docs, percent=percent).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__kept")), "left_semi")
 
 
