@@ -198,3 +198,8 @@ def bag_of_words_terms(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").where("doc_id < 100").select("doc_id", "text")
     tokens = RegexTokenizer(inputCol="text", outputCol="t", gaps=False, pattern=r"[\p{L}\p{N}_\-]{2,}", toLowercase=True).transform(docs)
     return tokens.select("doc_id", F.size(F.array_distinct("t")).cast("long").alias("n_terms")).where("n_terms > 0")
+
+
+@query("E10")
+def hashed_bag_of_words(spark: SparkSession, sf: str) -> DataFrame:
+    return vectors.bag_of_words(table(spark, sf, "documents").select("doc_id", "text"), "text").select("doc_id", "bow")
