@@ -119,8 +119,8 @@ NAMES = rf"""SELECT DISTINCT lower(regexp_replace(w, '^[^\p{{L}}\p{{N}}]+|[^\p{{
 TOKENS = rf"""SELECT doc_id, lower(regexp_replace(w, '^[^\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+$', '', 'g')) AS token FROM (SELECT doc_id, {WORDS} AS w FROM documents)"""
 
 
-def curated_names(spark: SparkSession, sf: str) -> DataFrame:
-    items = table(spark, sf, "benchmark").where("item_id < 20")
+def curated_names(spark: SparkSession, sf: str, which: str = "item_id < 20") -> DataFrame:
+    items = table(spark, sf, "benchmark").where(which)
     return dictionary.tokens(items, "item_id", "text").select(F.lower("token").alias("name")).distinct()
 
 
@@ -133,9 +133,12 @@ def dictionary_mentions(spark: SparkSession, sf: str) -> DataFrame:
 WITH n AS ({NAMES}), t AS ({TOKENS}) SELECT token, count(DISTINCT doc_id) AS df, round(ln(((SELECT count(*) FROM documents) + 1) / (count(DISTINCT doc_id) + 1)) + 1, 9) AS idf
 FROM t JOIN n USING (token) WHERE token <> '' GROUP BY 1""")
 def document_frequency_idf(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded_idf(spark, sf, curated_names(spark, sf))
+
+
+def rounded_idf(spark: SparkSession, sf: str, names: DataFrame) -> DataFrame:
     docs = table(spark, sf, "documents")
-    counts = dictionary.mentions(docs, curated_names(spark, sf))
-    return dictionary.idf(counts, docs.count()).withColumn("idf", F.round("idf", 9))
+    return dictionary.idf(dictionary.mentions(docs, names), docs.count()).withColumn("idf", F.round("idf", 9))
 
 
 @query("E04 E05 C20 H15", f"""
@@ -143,15 +146,39 @@ WITH n AS ({NAMES}), t AS ({TOKENS}), c AS (SELECT doc_id, token, count(*) AS n
 s AS (SELECT doc_id, count(*) AS k FROM c GROUP BY 1), i AS (SELECT token, ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)) + 1 AS idf FROM c GROUP BY 1)
 SELECT doc_id, token, n, round(n / k * idf, 9) AS tfidf FROM c JOIN s USING (doc_id) JOIN i USING (token) WHERE n >= 2 AND n / k * idf >= 0.5""")
 def tfidf_gate(spark: SparkSession, sf: str) -> DataFrame:
+    return gated(spark, sf, curated_names(spark, sf))
+
+
+def gated(spark: SparkSession, sf: str, names: DataFrame) -> DataFrame:
     docs = table(spark, sf, "documents")
-    counts = dictionary.mentions(docs, curated_names(spark, sf))
+    counts = dictionary.mentions(docs, names)
     passed = dictionary.tfidf_gate(counts, dictionary.idf(counts, docs.count()), 0.5, 2)
     return passed.withColumn("tfidf", F.round("tfidf", 9))
 
 
+# The queries above keep the bounds of their SQL; these take the names of all items.
+
+
+@query("D13 E02 E03")
+def whole_dictionary_mentions(spark: SparkSession, sf: str) -> DataFrame:
+    return dictionary.mentions(table(spark, sf, "documents"), curated_names(spark, sf, "true")).where("n >= 2")
+
+
+@query("E11 E12")
+def whole_document_frequency_idf(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded_idf(spark, sf, curated_names(spark, sf, "true"))
+
+
+@query("E04 E05 C20 H15")
+def whole_tfidf_gate(spark: SparkSession, sf: str) -> DataFrame:
+    return gated(spark, sf, curated_names(spark, sf, "true"))
+
+
 @query("D14 D12")
 def dictionary_longest_match(spark: SparkSession, sf: str) -> DataFrame:
-    names = [r[0] for r in table(spark, sf, "benchmark").where("item_id < 20").select(F.regexp_extract("text", r"^(\S+ \S+ \S+)", 1)).distinct().collect()]
+    # Of every item its whole text and, as a short name, its first words.
+    forms = F.explode(F.array("text", F.regexp_extract("text", r"^(\S+ \S+ \S+)", 1)))
+    names = [r[0] for r in table(spark, sf, "benchmark").select(forms).distinct().collect()]
     return dictionary.longest_matches(table(spark, sf, "documents"), [n for n in names if n])
 
 
@@ -161,9 +188,18 @@ cur AS (SELECT p_name AS name, max('PART:' || CAST(p_partkey AS VARCHAR)) AS cur
 up AS (SELECT upper(name) AS u, max(curie) AS curie FROM cur GROUP BY 1)
 SELECT n.p_partkey, n.name, coalesce(c.curie, u.curie) AS curie FROM names n LEFT JOIN cur c ON n.name = c.name LEFT JOIN up u ON upper(n.name) = u.u WHERE coalesce(c.curie, u.curie) IS NOT NULL""")
 def name_to_curie_fallback(spark: SparkSession, sf: str) -> DataFrame:
+    return resolved_parts(spark, sf, "p_partkey < 500")
+
+
+@query("D01 D02 D03 G22")
+def whole_name_to_curie_fallback(spark: SparkSession, sf: str) -> DataFrame:
+    return resolved_parts(spark, sf, "true")
+
+
+def resolved_parts(spark: SparkSession, sf: str, which: str) -> DataFrame:
     part = table(spark, sf, "part")
     curated = part.where("p_size < 40").select(F.col("p_name").alias("name"), F.concat(F.lit("PART:"), F.col("p_partkey").cast("string")).alias("curie"))
-    names = part.where("p_partkey < 500").select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, F.col("p_name")).otherwise(F.upper("p_name")).alias("name"))
+    names = part.where(which).select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, F.col("p_name")).otherwise(F.upper("p_name")).alias("name"))
     return dictionary.resolve(names, curated)
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+import unicodedata
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -12,11 +13,13 @@ from inkwell.plans import registry
 
 from .conftest import SF
 
+# Larger than the bounds that some queries have.
+MORE = SF.replace("0.001", "0.01")
 MASK = 0xFFFFFFFF
 
 
-def rows_of(spark, name):
-    return spark.read.parquet(f"{SF}/{name}.parquet").collect()
+def rows_of(spark, name, sf=SF):
+    return spark.read.parquet(f"{sf}/{name}.parquet").collect()
 
 
 def murmur3(data: bytes, seed: int = 42) -> int:
@@ -43,3 +46,94 @@ def test_bag_of_words_of_all_documents(spark):
         bow = found[d.doc_id]
         assert bow.size == 1 << 18
         assert dict(zip(bow.indices.tolist(), bow.values.tolist(), strict=True)) == pytest.approx({k: n / size for k, n in counts.items()})
+
+
+def plain_tokens(text):
+    marks = lambda c: unicodedata.category(c)[0] not in "LN"
+    for w in re.findall(r"[^\x20\x09-\x0D]+", text):
+        while w and marks(w[0]):
+            w = w[1:]
+        while w and marks(w[-1]):
+            w = w[:-1]
+        if w:
+            yield w.lower()
+
+
+@pytest.fixture(scope="module")
+def counts(spark):
+    """doc_id, token -> n for the names of all items."""
+    names = {t for r in rows_of(spark, "benchmark") for t in plain_tokens(r.text)}
+    assert names > {t for r in rows_of(spark, "benchmark") if r.item_id < 20 for t in plain_tokens(r.text)}
+    return Counter((d.doc_id, t) for d in rows_of(spark, "documents") for t in plain_tokens(d.text) if t in names)
+
+
+def test_mentions_of_all_names(spark, counts):
+    found = {(r.doc_id, r.token): r.n for r in registry.queries()["whole_dictionary_mentions"](spark, SF).collect()}
+    assert found == {k: n for k, n in counts.items() if n >= 2}
+
+
+def test_idf_and_gate_of_all_names(spark, counts):
+    n_docs, df, sizes = len(rows_of(spark, "documents")), Counter(t for _, t in counts), Counter(k for k, _ in counts)
+    idf = {t: math.log((n_docs + 1) / (n + 1)) + 1 for t, n in df.items()}
+    found = {r.token: (r.df, r.idf) for r in registry.queries()["whole_document_frequency_idf"](spark, SF).collect()}
+    assert {t: n for t, (n, _) in found.items()} == df
+    assert {t: x for t, (_, x) in found.items()} == pytest.approx(idf, abs=1e-8)
+    scores = {(k, t): n / sizes[k] * idf[t] for (k, t), n in counts.items() if n >= 2}
+    gated = {(r.doc_id, r.token): r.tfidf for r in registry.queries()["whole_tfidf_gate"](spark, SF).collect()}
+    assert gated == pytest.approx({k: x for k, x in scores.items() if x >= 0.5}, abs=1e-8)
+
+
+def test_longest_matches_of_all_items(spark):
+    names = {n for r in rows_of(spark, "benchmark") for n in (r.text, " ".join(r.text.split(" ")[:3])) if n}
+    expected = set()
+    for d in rows_of(spark, "documents"):
+        text, free = d.text, 0
+        spans = [(m.start(), -m.end(), n) for n in names for m in re.finditer(f"(?={re.escape(n)})", text) for m in [re.compile(re.escape(n)).match(text, m.start())]]
+        split = lambda i: 0 < i < len(text) and text[i].isalnum() and text[i - 1].isalnum()
+        for a, b, n in sorted(s for s in spans if not split(s[0]) and not split(-s[1])):
+            if a >= free:
+                expected.add((d.doc_id, n, a, -b))
+                free = -b
+    found = {tuple(r) for r in registry.queries()["dictionary_longest_match"](spark, SF).collect()}
+    assert found == expected
+    assert any(len(n.split(" ")) > 3 for _, n, _, _ in found)
+
+
+def test_names_of_all_parts(spark):
+    parts = rows_of(spark, "part", MORE)
+    exact, folded = {}, {}
+    for p in parts:
+        if p.p_size < 40:
+            curie = f"PART:{p.p_partkey}"
+            exact[p.p_name] = max(exact.get(p.p_name, ""), curie)
+            folded[p.p_name.upper()] = max(folded.get(p.p_name.upper(), ""), curie)
+    expected = set()
+    for p in parts:
+        name = p.p_name if p.p_partkey % 2 == 0 else p.p_name.upper()
+        if curie := exact.get(name) or folded.get(name.upper()):
+            expected.add((p.p_partkey, name, curie))
+    assert {tuple(r) for r in registry.queries()["whole_name_to_curie_fallback"](spark, MORE).collect()} == expected
+    assert max(k for k, _, _ in expected) >= 500
+
+
+def test_spans_of_all_events(spark):
+    at = defaultdict(list)
+    first = {}
+    for e in rows_of(spark, "events", MORE):
+        at[e.user_id, e.event_type].append(e.event_id)
+        first[e.user_id] = min(first.get(e.user_id, e.event_id), e.event_id)
+    expected = {(k, t) for (k, t), ids in at.items() if max(ids) < first[k] + 5000}
+    found = [tuple(r) for r in registry.queries()["whole_tokens_inside_spans"](spark, MORE).collect()]
+    assert len(found) == len(expected) and set(found) == expected
+
+
+def test_export_of_all_events(spark):
+    events = rows_of(spark, "events")
+    expected = Counter()
+    for e in events:
+        score = e.value if e.value is None else e.value / 100
+        level = "UNKNOWN_LEVEL_NONE" if score is None else "neg" if score == 0 else "low" if score < 0.667 else "medium" if score < 0.833 else "high"
+        flag, department = ("gene", "cam") if e.event_id % 2 == 0 else ("UNKNOWN_FLAG_ATP:1", "UNKNOWN_ATP_ATP:1")
+        expected[int(e.event_id >= 250), f"{e.ts:%y%m%d}\t\t:{e.user_id}\t{flag}:{level}\t{department}"] += 1
+    found = Counter((r.part, r.value) for r in registry.queries()["whole_export_lines"](spark, SF).collect())
+    assert found == expected and found.total() == len(events) > 500
