@@ -13,10 +13,11 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkwell.sources.storage import shared_folder
+
 SEED = 42
 FOLDS = 5
 
@@ -182,15 +183,28 @@ def predict_class(model: Transformer, data: DataFrame) -> DataFrame:
 def without_outliers(data: DataFrame, method: str | None, contamination: float = 0.1, vector: str = "features") -> DataFrame:
     """``data`` without the ``contamination`` share of rows that lie farthest out; unknown methods change nothing.
 
-    ``elliptic``: distance from the mean in standard deviations of each
-    dimension. ``forest``: path lengths in random isolation trees, grown on a
-    bounded sample and applied in Arrow batches.
+    ``elliptic``: Mahalanobis distance, by the covariance of all rows.
+    ``forest``: path lengths in random isolation trees, grown on a bounded
+    sample and applied in Arrow batches. ``lof``: local outlier factors among
+    all rows. The reference's names of the first two are accepted.
     """
+    method = {"elliptic_envelope": "elliptic", "isolation_forest": "forest"}.get(method, method)
+    if method == "lof":
+        data = stored(data.withColumn("__id", F.monotonically_increasing_id()))
+        far = local_outlier_factors(data.select("__id", vector_to_array(vector).alias("v")))
+        scored = data.join(far.withColumnRenamed("lof", "__far"), "__id").drop("__id")
+        cut = scored.agg(F.percentile_approx("__far", 1 - contamination, 10000)).first()[0]
+        return scored.where(F.col("__far") <= F.lit(cut)).drop("__far")
     if method == "elliptic":
-        stats = data.select(Summarizer.metrics("mean", "std").summary(F.col(vector)).alias("s")).select("s.mean", "s.std").first()
-        mean, std = (F.array(*map(F.lit, stats[k].toArray().tolist())) for k in ("mean", "std"))
-        z = F.zip_with(F.zip_with(vector_to_array(vector), mean, lambda x, m: x - m), std, lambda d, s: F.when(s > 0, d / s).otherwise(0.0))
-        far = F.aggregate(z, F.lit(0.0), lambda a, x: a + x * x)
+        mean, inverse = center_and_precision(data.select(vector_to_array(vector).alias("v")))
+
+        @F.pandas_udf("double")
+        def mahalanobis(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for batch in batches:
+                d = np.stack([np.asarray(v) for v in batch]) - mean if len(batch) else np.zeros((0, len(mean)))
+                yield pd.Series(np.einsum("ij,jk,ik->i", d, inverse, d))
+
+        far = mahalanobis(vector_to_array(vector))
     elif method == "forest":
         sample = np.array([r[0].toArray() for r in data.select(vector).orderBy(F.xxhash64(vector_to_array(vector))).limit(256).collect()])
         trees = [isolation_tree(sample, np.random.default_rng(SEED + t)) for t in range(50)]
@@ -208,6 +222,73 @@ def without_outliers(data: DataFrame, method: str | None, contamination: float =
     return scored.where(F.col("__far") <= F.lit(cut)).drop("__far")
 
 
+def stored(data: DataFrame) -> DataFrame:
+    """``data`` written once to the shared folder, so that its row ids stay the same."""
+    path = shared_folder(data.sparkSession, "rows")
+    data.write.parquet(path)
+    return data.sparkSession.read.parquet(path)
+
+
+def center_and_precision(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and (pseudo-)inverse covariance of the arrays ``v``, from sums made in each partition."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = None
+        for batch in batches:
+            if len(batch):
+                x = np.column_stack([np.ones(len(batch)), np.stack([np.asarray(v) for v in batch["v"]])])
+                sums = x.T @ x if sums is None else sums + x.T @ x
+        if sums is not None:
+            yield pd.DataFrame({"s": [sums.ravel()]})
+
+    total = sum(np.asarray(r[0]) for r in rows.mapInPandas(run, "s array<double>").toLocalIterator())
+    size = int(np.sqrt(np.size(total)))
+    total = np.reshape(total, (size, size))
+    mean = total[0, 1:] / total[0, 0]
+    return mean, np.linalg.pinv(total[1:, 1:] / total[0, 0] - np.outer(mean, mean), hermitian=True)
+
+
+def neighbours(rows: DataFrame, k: int, block: int = 1024) -> DataFrame:
+    """__id, near: the k nearest other rows as (d, i), exactly; blocks of rows meet in pairs."""
+    each = F.array_sort(F.collect_list(F.struct("__id", "v")))
+    grouped = rows.groupBy(F.shiftright("__id", 33).alias("p"), F.floor(F.col("__id").bitwiseAND((1 << 33) - 1) / block).alias("b")).agg(each.alias("s"))
+    blocks = grouped.select(F.transform("s", lambda s: s["__id"]).alias("i"), F.flatten(F.transform("s", lambda s: s["v"])).alias("x"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for i, x, j, y in zip(*(batch[c] for c in "ixjy"), strict=True):
+                x, y = (np.reshape(v, (len(n), -1)) for v, n in ((x, i), (y, j)))
+                j = np.asarray(j)
+                rough = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1) - 2 * x @ y.T
+                rough[np.asarray(i)[:, None] == j] = np.inf
+                at = np.argpartition(rough, min(2 * k, len(j)) - 1, axis=1)[:, : 2 * k]
+                # Products lose the distances of close rows; differences of the rows chosen keep them.
+                d = np.sqrt(((x[:, None, :] - y[at]) ** 2).sum(axis=2))
+                d[j[at] == np.asarray(i)[:, None]] = np.inf
+                order = np.lexsort((j[at], d), axis=1)[:, :k]
+                d, ids = np.take_along_axis(d, order, axis=1), j[np.take_along_axis(at, order, axis=1)]
+                near = [[{"d": float(a), "i": int(b)} for a, b in zip(*p, strict=True) if np.isfinite(a)] for p in zip(d, ids, strict=True)]
+                yield pd.DataFrame({"__id": i, "near": near})
+
+    # The pairs of blocks are never shuffled, only the blocks and what is found.
+    own = stored(blocks)
+    left = own.repartition(rows.sparkSession.sparkContext.defaultParallelism * 2)
+    met = left.crossJoin(own.select(F.col("i").alias("j"), F.col("x").alias("y")).coalesce(2))
+    found = met.mapInPandas(run, "__id long, near array<struct<d: double, i: long>>")
+    return found.groupBy("__id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
+
+
+def local_outlier_factors(rows: DataFrame, k: int = 20) -> DataFrame:
+    """__id, lof: the density of a row's neighbours over its own, of rows (__id, v)."""
+    near = stored(neighbours(rows, k))
+    reach = near.select(F.col("__id").alias("i"), F.element_at("near", -1)["d"].alias("reach"))
+    pairs = near.select("__id", F.inline("near"))
+    dense = pairs.join(reach, "i").groupBy("__id").agg((1 / (F.avg(F.greatest("d", "reach")) + 1e-10)).alias("density"))
+    others = dense.select(F.col("__id").alias("i"), F.col("density").alias("other"))
+    own = pairs.join(others, "i").groupBy("__id").agg(F.avg("other").alias("other"))
+    return own.join(dense, "__id").select("__id", (F.col("other") / F.col("density")).alias("lof"))
+
+
 def isolation_tree(rows: np.ndarray, rng: np.random.Generator, depth: int = 0, most: int = 8):
     """(dimension, threshold, low, high), or the size of a leaf."""
     if depth >= most or len(rows) < 2:

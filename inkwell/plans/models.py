@@ -180,7 +180,7 @@ def model_selection(spark: SparkSession, sf: str) -> DataFrame:
 @query("H03")
 def outlier_removal(spark: SparkSession, sf: str) -> DataFrame:
     data = vector_data(spark, sf)
-    kept = [(m or "none", ml.without_outliers(data, m).count(), data.count()) for m in ("elliptic", "forest", None)]
+    kept = [(m or "none", ml.without_outliers(data, m).count(), data.count()) for m in ("elliptic", "forest", "lof", None)]
     return spark.createDataFrame(kept, "method string, kept long, total long")
 
 
