@@ -203,3 +203,18 @@ def bag_of_words_terms(spark: SparkSession, sf: str) -> DataFrame:
 @query("E10")
 def hashed_bag_of_words(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.bag_of_words(table(spark, sf, "documents").select("doc_id", "text"), "text").select("doc_id", "bow")
+
+
+# The queries above keep the bounds of their SQL; these cover all sources, and the production's buckets.
+
+
+@query("E20 B13")
+def whole_mod_pivot_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    mods = [r[0] for r in docs.select("source").where("source is not null").distinct().orderBy("source").collect()]
+    return docs.groupBy("lang").pivot("source", mods).agg(F.max(F.lit(1))).na.fill(0, mods)
+
+
+@query("E09")
+def whole_lsh_bag_of_concepts(spark: SparkSession, sf: str) -> DataFrame:
+    return vectors.concept_histogram(table(spark, sf, "embeddings"), "label", "embedding", DIM)

@@ -133,6 +133,11 @@ def wide_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return wide.select("vec_id", *[F.round(F.col(f"d{i}").cast("double"), 6).alias(f"d{i}") for i in range(3)])
 
 
+@query("B13")
+def whole_wide_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return sinks.wide_vectors(table(spark, sf, "embeddings"), ["vec_id"], "embedding", 64)
+
+
 @query("B10 B18 C13", """
 WITH l AS (SELECT event_id, strftime(ts, '%y%m%d') || chr(9) || chr(9) || substr('AGRKB:' || CAST(user_id AS VARCHAR), 6) || chr(9) || CASE WHEN event_id % 2 = 0 THEN 'gene' ELSE 'UNKNOWN_FLAG_ATP:1' END || ':' ||
 CASE WHEN value IS NULL THEN 'UNKNOWN_LEVEL_NONE' WHEN value / 100 = 0 THEN 'neg' WHEN value / 100 < 0.667 THEN 'low' WHEN value / 100 < 0.833 THEN 'medium' ELSE 'high' END || chr(9) || CASE WHEN event_id % 2 = 0 THEN 'cam' ELSE 'UNKNOWN_ATP_ATP:1' END AS value FROM events WHERE event_id < 500)

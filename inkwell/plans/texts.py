@@ -32,7 +32,15 @@ h AS (SELECT DISTINCT doc_id, unnest([{HITS}]) AS m FROM s)
 SELECT d.doc_id, n.note, n.note IS NULL AS negated FROM (SELECT doc_id FROM documents WHERE lang = 'en') d
 LEFT JOIN (SELECT doc_id, string_agg(m, ', ' ORDER BY m) AS note FROM h WHERE m IS NOT NULL GROUP BY 1) n USING (doc_id)""")
 def antibody_style_rules(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").where("lang = 'en'")
+    return antibody_notes(table(spark, sf, "documents").where("lang = 'en'"))
+
+
+@query("G15 G17 E21 C06")
+def whole_antibody_style_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return antibody_notes(table(spark, sf, "documents"))
+
+
+def antibody_notes(docs: DataFrame) -> DataFrame:
     each = docs.select("doc_id", F.explode(text.sentences(F.col("text"))).alias("s"))
     found = antibody.matches(each, "s", [], FIRST, SECOND, name="m").where(~F.col("m").startswith("anti-"))
     notes = found.groupBy("doc_id").agg(antibody.note(F.collect_set("m")).alias("note"))
@@ -221,7 +229,15 @@ def taxon_default_join(spark: SparkSession, sf: str) -> DataFrame:
 WITH t AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '[A-Za-z]{3,}')) AS name FROM documents WHERE lang = 'en')
 SELECT doc_id, count(*) AS n FROM t WHERE NOT EXISTS (SELECT 1 FROM t x WHERE x.doc_id = t.doc_id AND upper(x.name) = t.name AND x.name <> upper(x.name)) GROUP BY 1""")
 def no_shouting_twins(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").where("lang = 'en'")
+    return unshouted(table(spark, sf, "documents").where("lang = 'en'"))
+
+
+@query("F14")
+def whole_no_shouting_twins(spark: SparkSession, sf: str) -> DataFrame:
+    return unshouted(table(spark, sf, "documents"))
+
+
+def unshouted(docs: DataFrame) -> DataFrame:
     names = docs.select("doc_id", F.explode(text.distinct_runs(F.col("text"), "[A-Za-z]{3,}")).alias("name"))
     return dictionary.no_shouting_twins(names, "doc_id", "name").groupBy("doc_id").agg(F.count("*").alias("n"))
 

@@ -7,9 +7,11 @@ import re
 import unicodedata
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
-from inkwell.plans import registry
+from inkwell.operators import vectors
+from inkwell.plans import registry, texts
 
 from .conftest import SF
 
@@ -137,3 +139,55 @@ def test_export_of_all_events(spark):
         expected[int(e.event_id >= 250), f"{e.ts:%y%m%d}\t\t:{e.user_id}\t{flag}:{level}\t{department}"] += 1
     found = Counter((r.part, r.value) for r in registry.queries()["whole_export_lines"](spark, SF).collect())
     assert found == expected and found.total() == len(events) > 500
+
+
+def test_pivot_of_all_sources(spark):
+    docs = rows_of(spark, "documents")
+    sources = {d.source for d in docs}
+    assert len(sources) > 5
+    has = {(d.lang, d.source) for d in docs}
+    found = registry.queries()["whole_mod_pivot_matrix"](spark, SF)
+    assert set(found.columns) == {"lang", *sources}
+    assert {(r.lang, s): r[s] for r in found.collect() for s in sources} == {(x, s): int((x, s) in has) for x, _ in has for s in sources}
+
+
+def test_concepts_in_all_buckets(spark):
+    planes, expected = vectors.projection(64), Counter()
+    assert planes.shape == (4, 12, 64)
+    for r in rows_of(spark, "embeddings"):
+        for t, signs in enumerate(planes @ np.asarray(r.embedding, dtype=float) > 0):
+            expected[r.label, t * 4096 + sum(1 << b for b in range(12) if signs[b])] += 1
+    assert Counter({(r.label, r.bucket): r.n for r in registry.queries()["whole_lsh_bag_of_concepts"](spark, SF).collect()}) == expected
+
+
+def test_all_dimensions(spark):
+    expected = {r.vec_id: list(r.embedding) for r in rows_of(spark, "embeddings")}
+    found = {r.vec_id: [r[f"d{i}"] for i in range(64)] for r in registry.queries()["whole_wide_vectors"](spark, SF).collect()}
+    assert found == expected
+
+
+def test_twins_in_all_languages(spark):
+    expected, langs = {}, set()
+    for d in rows_of(spark, "documents"):
+        names = set(re.findall("[A-Za-z]{3,}", d.text))
+        cased = {n.upper() for n in names if n != n.upper()}
+        if left := names - cased:
+            expected[d.doc_id] = len(left)
+            langs.add(d.lang)
+    assert {r.doc_id: r.n for r in registry.queries()["whole_no_shouting_twins"](spark, SF).collect()} == expected and len(langs) > 1
+
+
+def test_antibody_rules_in_all_languages(spark):
+    expected = {}
+    for d in rows_of(spark, "documents"):
+        found = set()
+        for s in re.sub(r"([.!?])[ \t\n\r\f\v]+", "\\1\x01", d.text).split("\x01"):
+            low = f" {s.lower()} ".split("\n")[0] + ("\n" if "\n" in s else "")
+            for a in texts.FIRST:
+                for b in texts.SECOND:
+                    if any(re.search(rf"^[^\n]*{x}[ \t\n\r\f\v]([^\n]*){y}[\s.;:,'\")\]}}>?]", low) for x, y in ((a, b), (b, a))):
+                        found.add(f"{a} {b}")
+        expected[d.doc_id] = ", ".join(sorted(found)) or None
+    rows = registry.queries()["whole_antibody_style_rules"](spark, SF).collect()
+    assert {r.doc_id: r.note for r in rows} == expected
+    assert all(r.negated == (r.note is None) for r in rows)
