@@ -163,7 +163,7 @@ def classify_with_logreg(spark: SparkSession, sf: str) -> DataFrame:
     return ml.predict(model, data.where("held_out")).select("vec_id", "label", "predicted", F.round("score", 6).alias("score"))
 
 
-@query("H13 H11")
+@query("H13")
 def classify_priorities(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "embeddings").select("vec_id", "embedding", (F.col("label") % 3).alias("label"))
     data = ml.stratified_split(ml.features(rows, ["embedding"]), "label", "vec_id")
@@ -171,7 +171,7 @@ def classify_priorities(spark: SparkSession, sf: str) -> DataFrame:
     return ml.predict_class(model, data.where("held_out")).select("vec_id", "label", "predicted", F.round("score", 6).alias("score"))
 
 
-@query("H06 H07 H08 H10 E15")
+@query("H10 E15")
 def model_selection(spark: SparkSession, sf: str) -> DataFrame:
     chosen = ml.select_model(vector_data(spark, sf).coalesce(2), "vec_id", ["logistic", "naive_bayes"], n=1, k=2)
     return spark.createDataFrame([(chosen.family, chosen.score, chosen.cv[0], chosen.cv[1], chosen.test)], "family string, score double, cv_mean double, cv_std double, test double")
