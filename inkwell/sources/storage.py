@@ -9,8 +9,14 @@ from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder's path below ``spark.checkpoint.dir``; a local session without one gets a temporary folder."""
+    """A new folder's path below ``spark.checkpoint.dir``.
+
+    A local session without one gets a temporary folder; on a cluster, whose
+    executors would not share it, its absence is an error.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
     if base is None:
         base = tempfile.mkdtemp(prefix="inkwell-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
