@@ -32,11 +32,14 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all of the cluster shares, from ``spark.checkpoint.dir``.
 
-    Only a session without one (a local test) gets a folder of its own.
+    Only a local session without one gets a folder of its own; on a cluster,
+    whose executors would not share it, its absence is an error.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="inkwell-checkpoint-"))
     return sc.getCheckpointDir()
 
