@@ -82,10 +82,9 @@ def test_best_fit_takes_the_fullest_and_closes_the_fullest():
     assert bins.place(9) == (4, 0) and bins.place(6) == (0, 4)
 
 
-@pytest.mark.parametrize("chunk", [3, 64, token_counts.CHUNK_BYTES])
-def test_token_counts(docs, none, bpe, chunk):
-    rows = token_counts.count_tokens(docs.where("doc_id is null or doc_id not in (5, 8, 9)") if chunk == 3 else docs, chunk_bytes=chunk).collect()
-    wanted = Counter((k, len((t or "").encode()), len(ids(bpe, t)), len(ids(bpe, t)) > 2048) for k, t, _ in TEXTS if chunk != 3 or k not in (5, 8, 9))
+def test_token_counts(docs, none, bpe):
+    rows = token_counts.count_tokens(docs).collect()
+    wanted = Counter((k, len((t or "").encode()), len(ids(bpe, t)), len(ids(bpe, t)) > 2048) for k, t, _ in TEXTS)
     assert Counter((r.doc_id, r.n_bytes, r.n_tokens, r.over_limit) for r in rows) == wanted
     assert token_counts.count_tokens(none).count() == 0
 
@@ -322,6 +321,23 @@ def likeness(a, b):
 def test_fingerprints(spark, docs, none):
     rows = fingerprints.fingerprint(docs).collect()
     assert len(rows) == len(TEXTS) and fingerprints.fingerprint(none).count() == 0
+    # Nulls, ties and repeated rows: each row's own digest columns, from its neighbour in the stated order.
+    order = sorted({(k is not None, k or 0, t or "") for k, t, _ in TEXTS})
+    after = defaultdict(set)
+    for i, own in enumerate(order):
+        after[own[1:]].add(order[(i + 1) % len(order)][2])
+    tied = {k for k, n in Counter(o[:2] for o in order).items() if n > 1}  # ordered by a hash of the text
+    body = {(k or 0, t or "") for k, t, _ in TEXTS}
+    for r in rows:
+        own = [t for k, t in body if k == (r.doc_id or 0) and len(t) == r.n_chars]
+        near = set().union(*(after[r.doc_id or 0, t] for t in own))
+        digests = {hashlib.sha256((t[: len(t) - len(t) // 2] + n[: len(t) // 2]).encode()).hexdigest() for t in own for n in near}
+        assert r.edited_sha256 in digests or (True, r.doc_id) in tied or any(n == t2 for n in near for k2, t2 in body if (True, k2) in tied)
+    same = [r for r in rows if r.doc_id == 10]
+    assert len(same) == 2 and same[0] == same[1] and len({r.fingerprint for r in rows if r.n_chars == 19}) == 1
+    assert {r.fingerprint for r in rows if r.n_chars == 0} == {"0" * len(rows[0].fingerprint)}
+    named = fingerprints.fingerprint(docs.where("doc_id is not null").withColumn("body", F.concat(F.lit("k"), "doc_id")), key="body")
+    assert named.count() == len(TEXTS) - 1
     from tests.conftest import SF
 
     texts = sorted((r.doc_id, r.text) for r in common.documents(spark, SF).collect())
