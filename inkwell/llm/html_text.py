@@ -2,24 +2,36 @@
 
 A page is cut into blocks at block-level tags. The first pass decides each
 block alone: what stands in menus, headers, footers, sidebars, notices,
-adverts, forms or reader comments (by element, or by class and id words) and
+adverts, forms or reader comments (by element, or by class, id and role) and
 what is mostly links is boilerplate; long blocks with many stop words are
 text; other long blocks without are boilerplate. The second pass gives
 ambiguous blocks the label of the nearest neighbours that their own text
 decided (what an element or class decided says nothing about its neighbours);
 the edge of an article or main element counts as text for its inside.
 
-Scripts, styles, comments and forms never become blocks. One linear pass over
-the markup; memory in proportion to one page.
+Names are read by the parts of each class, id or role: a part that says what
+the element lacks or has beside it (``no-sidebar``, ``with-sidebar``) or that
+it heads an article (``entry-header``) names no boilerplate. No class, and no
+form or header element, makes boilerplate of what holds an article, a main
+element or most of the page's text; only comments may be longer than the text
+that they are about.
+
+Scripts, styles, comments and form controls never become blocks. One pass over
+the markup, in time and memory linear in the page: attributes have any length,
+tags may stay open, and open tags are counted, not searched.
 
 Defined results: a null or empty page, or one without text, gives an empty
 text; unclosed and stray tags are tolerated, a tag cut off by the page's end
-is markup; repeated rows get equal results; an empty table gives no row.
+is markup; neighbours at the same distance that differ make a block of
+``SHORT`` or more text, and a heading takes the label of what follows it;
+repeated rows get equal results; an empty table gives no row; extra columns
+are not carried on unless named in ``keep``.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 from typing import NamedTuple
@@ -48,17 +60,22 @@ BLOCK_TAGS = frozenset(
 #: Elements that are closed explicitly and may carry a meaning for what they hold.
 CONTAINERS = frozenset("article aside blockquote details dialog div dl fieldset figure footer form header main menu nav ol section table td ul".split())
 RAW = frozenset("script style title textarea xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head form button select noscript template svg canvas object video audio map".split())
+UNSEEN = frozenset("head button select option datalist label noscript template svg canvas object video audio map".split())
 BOILER_TAGS = frozenset("nav footer aside menu dialog".split())
 BOILER_WORDS = frozenset(
     """ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu menubar
     breadcrumb breadcrumbs header masthead topbar footer bottom sidebar aside rail related recommended recirc share sharing social follow
-    comment comments comment-list respond replies disqus discussion cookie cookies consent gdpr notice notices alert popup modal overlay
+    comment comments commentlist respond replies disqus discussion cookie cookies consent gdpr notice notices alert popup modal overlay
     newsletter subscribe signup login pagination pager tags toolbar widget copyright legal disclaimer skip toc""".split()
 )
-TAG = re.compile(r"<!--(?:.*?-->|.*)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]{0,8192}+\"|'[^']{0,8192}+'|[\"'])*?)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)", re.DOTALL)
-NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
-WORDS = re.compile(r"[a-z]+")
+COMMENTS = frozenset("comment comments commentlist respond replies disqus discussion".split())
+#: Parts beside a word of boilerplate that make it say something else.
+BESIDE = frozenset("no not without with has have non hide hidden is open closed enabled disabled left right layout".split())
+HEADED = frozenset("entry post article story page content section title chapter".split())
+NAMED = re.compile(r"(?:^|[\s\"'])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.IGNORECASE)
+TAG_NAME = re.compile(r"[a-zA-Z][a-zA-Z0-9:-]*+")
+PLAIN = re.compile(r"[^>\"']*+")
+PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
@@ -70,58 +87,122 @@ class Block(NamedTuple):
     heading: bool
 
 
-def is_boiler(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in BOILER_TAGS or (tag == "header" and not in_article):
-        return True
-    if "=" not in attributes:
-        return False
-    names = " ".join(m[1] or m[2] or m[3] or "" for m in NAMED.finditer(attributes)).lower()
-    return not BOILER_WORDS.isdisjoint(WORDS.findall(names))
+class Tag(NamedTuple):
+    first: int
+    last: int
+    name: str  # empty for comments, declarations and such
+    ends: bool
+    attributes: str
+
+
+def tags(page: str) -> Iterator[Tag]:
+    """The markup of a page in order; a raw element (a script, say) is one tag with what it holds."""
+    at, gone = 0, set()  # quotes that no longer come, so that none is looked for twice
+    while (first := page.find("<", at)) >= 0:
+        ends = page.startswith("/", first + 1)
+        name = TAG_NAME.match(page, first + 1 + ends)
+        if not name:
+            if page.startswith("<!--", first):
+                last = page.find("-->", first + 2)
+                at = len(page) if last < 0 else last + 3
+            elif page[first + 1 : first + 2] in ("!", "?", "/"):
+                last = page.find(">", first)
+                at = len(page) if last < 0 else last + 1
+            else:
+                at = first + 1
+                continue
+            yield Tag(first, at, "", False, "")
+            continue
+        last = name.end()
+        while True:
+            last = PLAIN.match(page, last).end()
+            mark = page[last : last + 1]
+            if mark in (">", ""):
+                break
+            value = mark not in gone and page[max(name.end(), last - 32) : last].rstrip().endswith("=")
+            close = page.find(mark, last + 1) if value else -1
+            if value and close < 0:
+                gone.add(mark)
+            last = max(last, close) + 1
+        tag, attributes = name[0].lower(), page[name.end() : last]
+        at = min(last + 1, len(page))
+        if tag in RAW and not ends:
+            close = RAW_ENDS[tag].search(page, at)
+            at = close.end() if close else len(page)
+        yield Tag(first, at, tag, ends, attributes)
+
+
+RAW_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*+(?:>|\Z)", re.IGNORECASE) for tag in RAW}
+
+
+def named_boiler(attributes: str) -> str:
+    """A word of class, id or role that names boilerplate, or nothing."""
+    for m in NAMED.finditer(attributes) if "=" in attributes else ():
+        for token in (m[1] or m[2] or m[3] or "").split():
+            parts = {p.lower() for p in PARTS.findall(token)}
+            found = parts & BOILER_WORDS
+            if found and not (parts & BESIDE and len(parts) > 1) and not (found <= {"header", "tags"} and parts & HEADED):
+                return min(found & COMMENTS or found)
+    return ""
+
+
+class Holder:
+    """An element that may carry a meaning for what it holds."""
+
+    __slots__ = ("above", "name", "kind", "article", "size", "holds", "boiler")
+
+    def __init__(self, above: int, name: str, kind: str, article: bool):
+        self.above, self.name, self.kind, self.article = above, name, kind, article
+        self.size, self.holds, self.boiler = 0, "", False
 
 
 def blocks(page: str) -> list[Block]:
-    out: list[Block] = []
+    holders = [Holder(-1, "", "", False)]
+    found: list[tuple[str, int, int, bool]] = []  # text, linked, holder, heading
+    stack, opened = [0], Counter()
     parts: list[str] = []
-    linked = 0
+    linked = at = 0
     link = heading = False
-    unseen: list[str] = []
-    stack: list[tuple[str, bool]] = []  # containers and whether each is boilerplate
+    unseen = Counter()
+    hidden = 0
 
     def close() -> None:
         nonlocal parts, linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(text, linked, any(b for _, b in stack), any(t in ("article", "main") for t, _ in stack), heading))
+                found.append((text, linked, stack[-1], heading))
+                holders[stack[-1]].size += len(text)
         parts, linked = [], 0
 
-    at = 0
-    while True:
-        m = TAG.search(page, at)
-        chunk = page[at : m.start() if m else len(page)]
-        if chunk and not unseen:
+    def read(chunk: str) -> None:
+        nonlocal linked
+        if chunk and not hidden:
             chunk = unescape(chunk)
             parts.append(chunk)
             linked += len(chunk) * link
-        if not m:
-            break
-        at = m.end()
-        if not m[2]:
-            continue
-        tag, ends = m[2].lower(), bool(m[1])
-        if tag in RAW and not ends:
-            end = re.compile(rf"</{tag}[^>]*+(?:>|\Z)", re.IGNORECASE).search(page, at)
-            at = end.end() if end else len(page)
+
+    closed: dict[str, int] = {}  # where the next end tag of a hidden element is
+    for t in tags(page):
+        read(page[at : t.first])
+        at, tag, ends = t.last, t.name, t.ends
+        if not tag or tag in RAW:
             continue
         if tag in UNSEEN:
             close()
-            if not ends:
-                unseen.append(tag)
-            elif tag in unseen:
-                del unseen[unseen.index(tag) :]
+            if ends:
+                hidden -= unseen.pop(tag, 0)
+            elif not t.attributes.endswith("/"):
+                # One that is never closed hides nothing; a head ends with the body at last.
+                if tag != "head" and closed.get(tag, -1) < at:
+                    end = re.compile(f"</{tag}", re.IGNORECASE).search(page, at)
+                    closed[tag] = end.start() if end else len(page) + 1
+                if tag == "head" or closed[tag] <= len(page):
+                    unseen[tag] += 1
+                    hidden += 1
             continue
-        if tag == "body" and unseen == ["head"]:
-            unseen.clear()
+        if tag == "body" and unseen["head"]:
+            hidden -= unseen.pop("head")
         if tag == "a":
             link = not ends
         elif tag == "br":
@@ -130,15 +211,37 @@ def blocks(page: str) -> list[Block]:
             close()
             link = False
             heading = tag in HEADINGS and not ends
-            if tag in CONTAINERS:
-                if ends:
-                    names = [t for t, _ in stack]
-                    if tag in names:
-                        del stack[len(names) - 1 - names[::-1].index(tag) :]
-                elif not m[3].endswith("/"):
-                    stack.append((tag, is_boiler(tag, m[3], any(t in ("article", "main") for t, _ in stack))))
+            if tag not in CONTAINERS:
+                continue
+            if not ends:
+                if t.attributes.endswith("/"):
+                    continue
+                above = holders[stack[-1]]
+                kind = "tag" if tag in BOILER_TAGS else "weak" if tag == "form" or (tag == "header" and not above.article) else ""
+                if not kind and (word := named_boiler(t.attributes)):
+                    kind = "comments" if word in COMMENTS else "weak"
+                stack.append(len(holders))
+                holders.append(Holder(stack[-2], tag, kind, above.article or tag in ("article", "main")))
+                opened[tag] += 1
+            elif opened[tag]:
+                while True:
+                    name = holders[stack.pop()].name
+                    opened[name] -= 1
+                    if name == tag:
+                        break
+    read(page[at:])
     close()
-    return out
+    # Sizes and articles go up from the inside out, then what is boilerplate goes down.
+    for h in reversed(holders[1:]):
+        above = holders[h.above]
+        above.size += h.size
+        above.holds = max(above.holds, h.holds, h.name if h.name in ("main", "article") else "")
+    for h in holders[1:]:
+        above = holders[h.above]
+        most = 2 * h.size > holders[0].size
+        own = h.kind == "tag" or (h.kind == "comments" and h.holds != "main") or (h.kind == "weak" and not (h.holds or most))
+        h.boiler = above.boiler or own
+    return [Block(text, n, holders[k].boiler, holders[k].article, head) for text, n, k, head in found]
 
 
 def decide(b: Block) -> bool | None:

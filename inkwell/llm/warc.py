@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from inkwell.llm import common
-from inkwell.llm.html_text import TAG, visible_text
+from inkwell.llm.html_text import tags, visible_text
 
 DATE = "2024-01-01T00:00:00Z"
 COLUMNS = "record_type string, record_id string, refers_to string, target_uri string, refers_to_date string, content_type string, source_digest string, payload_digest string, block_digest string, content_length long, content string, record binary"
@@ -101,7 +101,7 @@ def read_records(data: bytes) -> Iterator[Record]:
 
 
 def links(page: str) -> int:
-    return sum(1 for m in TAG.finditer(page) if m[2] and m[2].lower() == "a" and not m[1] and "href" in (m[3] or "").lower())
+    return sum(t.name == "a" and not t.ends and "href" in t.attributes.lower() for t in tags(page))
 
 
 def derive(source: Record) -> list[Record]:
