@@ -9,12 +9,17 @@ carry digests of their own, so a derivative can be traced and checked without
 the response at hand. Record ids are name-based, so reruns and recomputed
 tasks write the same records.
 
-Rows are handled one by one, straight after the scan, without a shuffle.
+``derivatives`` makes both records for a table of pages (which has no dates:
+``DATE`` is its parameter's default), ``file_derivatives`` for the responses of
+WARC files that Spark can reach, each of which must fit a task's memory. Rows
+are handled one by one, straight after the scan, without a shuffle.
 
 Defined results: a null page is a response with an empty body; a null url is
 the target ``urn:page:<id>``; repeated rows give equal records with equal ids;
 records of other types, and responses whose HTTP head doesn't end, are passed
-over by ``derive``; an empty table gives no row.
+over by ``derive``; reading goes on at the next version line after a broken
+head, and at what follows a damaged gzip member; an empty table gives no row;
+extra columns are not carried on.
 """
 
 from __future__ import annotations
@@ -22,6 +27,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -67,26 +73,34 @@ def response(page_id: object, url: str | None, html: str | None, date: str = DAT
     return record("response", head + body, target, date, "application/http; msgtype=response", ("WARC-Payload-Digest", sha1(body)), name=str(page_id))
 
 
+MAGIC = b"\x1f\x8b\x08"
+VERSION = re.compile(rb"^WARC/1\.\d+\r?$", re.MULTILINE)
+
+
 def members(data: bytes) -> bytes:
-    """The bytes of a file, whose records may each be a gzip member."""
-    if data[:2] != b"\x1f\x8b":
+    """The bytes of a file, whose records may each be a gzip member; of a damaged member what can be read."""
+    if not data.startswith(MAGIC):
         return data
-    out = []
-    while data:
+    out, at = [], 0
+    while at >= 0:
         d = zlib.decompressobj(31)
-        out.append(d.decompress(data) + d.flush())
-        data = d.unused_data
-    return b"".join(out)
+        try:
+            out.append(d.decompress(data[at:] if at else data) + d.flush())
+        except zlib.error:
+            d = None
+        left = len(d.unused_data) if d else len(data) - at - 1
+        if d and left and not d.unused_data.startswith(MAGIC):
+            out.append(d.unused_data)  # plain bytes after a member; members among them are looked for
+        at = data.find(MAGIC, len(data) - left) if left else -1
+    return b"\r\n".join(out)
 
 
 def read_records(data: bytes) -> Iterator[Record]:
-    """Records in order; what follows a broken record head is not read."""
-    stream = io.BytesIO(members(data))
-    while line := stream.readline():
-        if not line.strip():
-            continue
-        if not line.startswith(b"WARC/"):
-            return
+    """Records in order; after a broken record head, from the next version line on."""
+    data, at = members(data), 0
+    while version := VERSION.search(data, at):
+        stream = io.BytesIO(data)
+        stream.seek(version.end() + 1)
         headers: list[tuple[str, str]] = []
         while (line := stream.readline()).strip():
             if line[:1] in b" \t" and headers:
@@ -96,8 +110,10 @@ def read_records(data: bytes) -> Iterator[Record]:
                 headers.append((k.strip(), v.strip()))
         size = next((v for k, v in headers if k.lower() == "content-length"), "")
         if not size.isdigit():
-            return
-        yield Record(headers, stream.read(int(size)))
+            at = version.end()
+            continue
+        at = stream.tell() + int(size)
+        yield Record(headers, data[stream.tell() : at])
 
 
 def links(page: str) -> int:
@@ -121,29 +137,51 @@ def derive(source: Record) -> list[Record]:
     return [about, text]
 
 
+def derived_rows(sources: Iterator[tuple[int, Record]], columns: list[str]) -> tuple[list[int], list[pa.Array]]:
+    """The places of the sources that derived records come from, and the records' columns."""
+    at, rows = [], {c: [] for c in columns}
+    for i, source in sources:
+        for made in derive(source):
+            at.append(i)
+            payload = source.get("WARC-Payload-Digest")
+            values = (made.get("WARC-Type"), made.get("WARC-Record-ID"), made.get("WARC-Refers-To"), made.get("WARC-Target-URI"), made.get("WARC-Refers-To-Date"), made.get("Content-Type"), source.get("WARC-Block-Digest"), payload, made.get("WARC-Block-Digest"), len(made.block), made.block.decode(), made.to_bytes() if "record" in columns else None)
+            for c, v in zip(columns, values, strict=False):
+                rows[c].append(v)
+    kinds = {"content_length": pa.int64(), "record": pa.binary()}
+    return at, [pa.array(rows[c], kinds.get(c, pa.string())) for c in columns]
+
+
+def derived_columns(with_record: bool) -> tuple[list[str], str]:
+    kept = [c for c in COLUMNS.split(", ") if with_record or not c.startswith("record ")]
+    return [c.split()[0] for c in kept], ", ".join(kept)
+
+
 def derivatives(pages: DataFrame, date: str = DATE, with_record: bool = False) -> DataFrame:
     """Rows for the derived records of each page's response; ``record`` has their bytes."""
     kind = pages.schema["page_id"].dataType.simpleString()
-    columns = [c.split()[0] for c in COLUMNS.split(", ")]
-    columns = columns if with_record else columns[:-1]
-    schema = f"page_id {kind}, " + ", ".join(c for c in COLUMNS.split(", ") if c.split()[0] in columns)
+    columns, schema = derived_columns(with_record)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in common.text_slices(batches, "html"):
             keys, urls = batch.column("page_id").to_pylist(), batch.column("url").to_pylist()
-            at, rows = [], {c: [] for c in columns}
-            for i, (key, url, html) in enumerate(zip(keys, urls, texts, strict=True)):
-                (source,) = read_records(response(key, url, html, date).to_bytes())
-                for made in derive(source):
-                    at.append(i)
-                    payload = source.get("WARC-Payload-Digest")
-                    values = (made.get("WARC-Type"), made.get("WARC-Record-ID"), made.get("WARC-Refers-To"), made.get("WARC-Target-URI"), made.get("WARC-Refers-To-Date"), made.get("Content-Type"), source.get("WARC-Block-Digest"), payload, made.get("WARC-Block-Digest"), len(made.block), made.block.decode(), made.to_bytes() if with_record else None)
-                    for c, v in zip(columns, values, strict=False):
-                        rows[c].append(v)
-            kinds = {"content_length": pa.int64(), "record": pa.binary()}
-            yield pa.RecordBatch.from_arrays([batch.column("page_id").take(pa.array(at, pa.int64())), *(pa.array(rows[c], kinds.get(c, pa.string())) for c in columns)], names=["page_id", *columns])
-
-    return pages.select("page_id", "url", "html").mapInArrow(run, schema)
+            sources = ((i, r) for i, page in enumerate(zip(keys, urls, texts, strict=True)) for r in read_records(response(*page, date).to_bytes()))
+            at, made = derived_rows(sources, columns)
+            yield pa.RecordBatch.from_arrays([batch.column("page_id").take(pa.array(at, pa.int64())), *made], names=["page_id", *columns])
+
+    return pages.select("page_id", "url", "html").mapInArrow(run, f"page_id {kind}, {schema}")
+
+
+def file_derivatives(spark: SparkSession, path: str, with_record: bool = False) -> DataFrame:
+    """Rows for the derived records of the responses in WARC files, plain or compressed; ``path`` names the file."""
+    columns, schema = derived_columns(with_record)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                _, made = derived_rows(enumerate(read_records(content.as_py())), columns)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(made[0]), pa.string()), *made], names=["path", *columns])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, f"path string, {schema}")
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
