@@ -19,6 +19,12 @@
    where it is high. What is left is confirmed on the full sets.
 5. Components come from alternating large-star and small-star steps.
 
+A large bucket is split by a hash of the member, and only its hubs are repeated
+in each part. The joins on a component's root and on a bucket's key carry rows
+of a few numbers only; a root with a large share of them is one task's work,
+unless adaptive execution splits it. Broadcasting such keys instead doubled the
+plans and with them the driver's memory. Tables of a round are deleted after it.
+
 Hashes are 64 bits wide (digests 128): two different shingles of a pair of
 documents are taken for equal with probability below 1e-9, and two of N
 different sets share a node with probability N^2 / 2^65.
@@ -27,7 +33,12 @@ Defined results: null, empty and wordless texts have no shingle and are
 components of their own; texts with fewer than five words have one shingle;
 repeated rows get the same component; a null key is no candidate for a
 component's smallest key, and a component of null keys only has a null id; an
-empty table gives no row. Extra columns are ignored.
+empty table gives no row. Extra columns, whatever their names, are ignored by
+``components`` and stay as they are in ``unique_documents``.
+
+Recall: a pair at the threshold shares no band with probability ``MISSED`` at
+most, and each sketch passes it over with probability 3e-7 (five standard
+errors); a component loses a document only if all its links are missed.
 """
 
 from __future__ import annotations
@@ -49,6 +60,8 @@ SHINGLE = 5
 PERCENT = 85
 #: With which probability a pair at the threshold may share no band, and the most MinHash samples of all bands.
 MISSED, SAMPLES = 2e-6, 176
+#: Members that one part of a bucket holds.
+PART_ROWS = 1024
 #: MinHash samples and bits of the short and the long odd sketch.
 SHORT, LONG = (672, 1024), (2048, 2048)
 
@@ -200,14 +213,14 @@ def stars(edges: DataFrame) -> DataFrame:
 
 
 def hubs_of(members: DataFrame, hubs: int) -> DataFrame:
-    """key, node, comp, hub for the buckets that still hold two components or more.
+    """key, parts, node, comp, hub for the buckets that still hold two components or more.
 
     A bucket's lowest node is a hub, and so are about ``hubs`` others drawn by a hash.
     """
     buckets = members.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("node").alias("lowest")).where("low <> high")
     drawn = F.pmod(F.xxhash64("node", "key", F.lit(hubs)), F.greatest(F.lit(1), F.ceil(F.col("n") / hubs))) == 0
     hub = (F.col("node") == F.col("lowest")) | drawn
-    return members.join(buckets.select("key", "n", "lowest"), "key").select("key", "node", "comp", hub.alias("hub"))
+    return members.join(buckets.select("key", "n", "lowest"), "key").select("key", F.ceil(F.col("n") / PART_ROWS).alias("parts"), "node", "comp", hub.alias("hub"))
 
 
 def candidates(live: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -215,13 +228,16 @@ def candidates(live: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Sizes and odd sketches are compared within the join, so pairs that can't
     be links are never rows. A pair belongs to the lowest key that both have:
-    it is a row once, in the round that makes either a hub there.
+    it is a row once, in the round that makes either a hub there. A bucket's
+    members are dealt to its parts, and each part gets all its hubs.
     """
-    own = live.where("hub").select("key", *[F.col(c).alias(f"h_{c}") for c in ("node", "comp", "n", "sketch", "bands")])
+    own = live.where("hub").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    own = own.select("key", "part", *[F.col(c).alias(f"h_{c}") for c in ("node", "comp", "n", "sketch", "bands")])
     first = F.array_min(F.array_intersect("bands", "h_bands")) == F.col("key")
     near = likely_link(F.col("sketch"), F.col("h_sketch"), percent)
     sized = F.expr(f"100 * least(n, h_n) >= {percent} * greatest(n, h_n)")
-    met = live.drop("hub").withColumnRenamed("key", "__key").join(own, (F.col("__key") == F.col("key")) & (F.col("comp") != F.col("h_comp")) & sized & near & first)
+    dealt = live.withColumn("__part", F.pmod(F.xxhash64("node", F.lit(41)), F.col("parts"))).drop("hub", "parts").withColumnRenamed("key", "__key")
+    met = dealt.join(own, (F.col("__key") == F.col("key")) & (F.col("__part") == F.col("part")) & (F.col("comp") != F.col("h_comp")) & sized & near & first)
     low = F.col("node") < F.col("h_node")
     one, two = (lambda c: F.when(low, F.col(c)).otherwise(F.col(f"h_{c}"))), (lambda c: F.when(low, F.col(f"h_{c}")).otherwise(F.col(c)))
     return met.select(one("node").alias("a"), two("node").alias("b"), one("n").alias("n_a"), two("n").alias("n_b")).distinct()
@@ -229,19 +245,21 @@ def candidates(live: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """key, n_shingles, component_id (the smallest key reachable by links) and kept, for each row."""
-    rows = common.cut(signatures(docs, key, text, percent))
-    nodes = common.cut(rows.where("n_shingles > 0").groupBy("node").agg(F.min(key).alias("first"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
+    docs = docs.select(F.col(key).alias("__id"), F.col(text).alias("__text"))
+    rows = common.cut(signatures(docs, "__id", "__text", percent))
+    nodes = common.cut(rows.where("n_shingles > 0").groupBy("node").agg(F.min("__id").alias("first"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
     banded = nodes.select("node", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("__n")).where("__n > 1").select("key")
-    members = common.cut(banded.join(shared, "key").select("key", "node", F.col("node").alias("comp")))
+    members = first_members = common.cut(banded.join(shared, "key").select("key", "node", F.col("node").alias("comp")))
     own = members.select("node").distinct()
     firsts = nodes.join(own, "node", "left_semi").select(F.col("first").alias("__first"))
-    owners = docs.join(firsts.distinct(), docs[key].eqNullSafe(F.col("__first")), "left_semi")
-    sets = common.cut(full_sets(owners, text).join(own, "node", "left_semi").dropDuplicates(["node"]))
+    owners = docs.join(firsts.distinct(), F.col("__id").eqNullSafe(F.col("__first")), "left_semi")
+    sets = common.cut(full_sets(owners, "__text").join(own, "node", "left_semi").dropDuplicates(["node"]))
     known = nodes.select("node", "n", "bands").join(sets.select("node", "sketch"), "node")
-    edges, hubs = None, 16
+    edges, hubs, behind = None, 16, None
     while True:
         live = common.cut(hubs_of(members, hubs).join(known, "node"))
+        common.drop(behind)
         if live.isEmpty():
             break
         likely = candidates(live, percent)
@@ -252,13 +270,17 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", percent
         left = live.where("not hub").select("key", "node")
         if not links.isEmpty():
             # One step a round: components may be behind, which costs comparisons, not links.
-            edges = star_step(links if edges is None else links.union(edges))
+            old, edges = edges, star_step(links if edges is None else links.union(edges))
+            common.drop(old)
+        common.drop(links)
         if edges is None:
             left = left.withColumn("comp", F.col("node"))
         else:
             nearest = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
             left = left.join(nearest, "node", "left").select("key", "node", F.coalesce("root", "node").alias("comp"))
-        members, hubs = left, min(16 * hubs, 4096)
+        members, hubs, behind = left, min(16 * hubs, 4096), live
+    for table in (first_members, sets, live):
+        common.drop(table)
     named = nodes.select("node", "first", "copies")
     if edges is not None:
         roots = stars(edges)
@@ -268,15 +290,17 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", percent
         found = named.join(least, "root", "left").where("least is not null or copies > 1").select("node", F.coalesce("least", "first").alias("component"))
     else:
         found = named.where("copies > 1").select("node", F.col("first").alias("component"))
-    component = F.when(F.col("component").isNull(), F.col(key)).otherwise(F.col("component"))
-    joined = rows.select(key, "n_shingles", "node").join(found, "node", "left")
-    return joined.select(key, "n_shingles", component.alias("component_id")).withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
+    component = F.when(F.col("component").isNull(), F.col("__id")).otherwise(F.col("component"))
+    joined = rows.select("__id", "n_shingles", "node").join(found, "node", "left")
+    return joined.select(F.col("__id").alias(key), "n_shingles", component.alias("component_id")).withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
 
 
-def unique_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def unique_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """``docs`` without the documents that another of their component stands for."""
-    kept = components(docs, percent=percent).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__kept")), "left_semi")
+    kept = components(docs, key, text, percent).where("kept").select(F.col(key).alias("kept")).distinct()
+    # Rows travel as one column, so that no name of theirs can clash.
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("id"))
+    return whole.join(kept, F.col("id").eqNullSafe(F.col("kept")), "left_semi").select("row.*")
 
 
 def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

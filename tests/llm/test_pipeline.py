@@ -22,7 +22,7 @@ def test_stages(spark, tmp_path):
     model = quality.quality_model(before, common.labels(spark, SF))
     assert {r.doc_id for r in after.collect()} == {r.doc_id for r in quality.score(before, model).where("kept").collect()}
     before, after = kept["near_dup"]
-    assert {r.doc_id for r in after.collect()} == {r.doc_id for r in near_dup.components(before).where("kept").collect()}
+    assert {r.doc_id for r in after.collect()} == {r.doc_id for r in near_dup.components(before, percent=corpus_pipeline.NEAR_PERCENT).where("kept").collect()}
     before, after = kept["pii"]
     crf = pii.trained()
     texts = {r.doc_id: pii.redact_text(r.text, pii.find(r.text, crf)[1]) for r in before.collect()}
