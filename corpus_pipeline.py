@@ -33,7 +33,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dup.unique_documents(docs, NEAR_PERCENT)
+    return near_dup.unique_documents(docs, percent=NEAR_PERCENT)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
