@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 from inkwell.functions.text import words
 
+#: The longest list of names that is broadcast.
+MOST_NAMES = 1_000_000
 TRIM = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
 
 
@@ -32,7 +34,11 @@ def mentions(docs: DataFrame, names: DataFrame, key: str = "doc_id", text: str =
     if fold:
         found, own = found.withColumn("token", F.lower("token")), own.select(F.lower("name").alias("name"))
     own = own.distinct().withColumnRenamed("name", "token")
-    # Counts first: what is joined has a row for each distinct token of a text.
+    if own.limit(MOST_NAMES + 1).count() <= MOST_NAMES:
+        # The list comes to the tokens, so only those that are names are ever counted or shuffled.
+        found = found.join(F.broadcast(own), "token", "left_semi")
+        return found.groupBy(key, "token").agg(F.count("*").alias("n"))
+    # A longer list: counts first, so that what is joined has a row for each distinct token of a text.
     counted = found.groupBy(key, "token").agg(F.count("*").alias("n"))
     return counted.join(own, "token", "left_semi").select(key, "token", "n")
 

@@ -16,7 +16,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkwell.sources.storage import shared_folder
+from inkwell.sources.storage import stored
 
 SEED = 42
 FOLDS = 5
@@ -222,13 +222,6 @@ def without_outliers(data: DataFrame, method: str | None, contamination: float =
     return scored.where(F.col("__far") <= F.lit(cut)).drop("__far")
 
 
-def stored(data: DataFrame) -> DataFrame:
-    """``data`` written once to the shared folder, so that its row ids stay the same."""
-    path = shared_folder(data.sparkSession, "rows")
-    data.write.parquet(path)
-    return data.sparkSession.read.parquet(path)
-
-
 def center_and_precision(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Mean and (pseudo-)inverse covariance of the arrays ``v``, from sums made in each partition."""
 

@@ -9,7 +9,7 @@ from inkwell.operators import evaluate, ml, vectors
 from inkwell.plans.catalog import query
 from inkwell.sources.tables import table
 
-DIM, BITS, TABLES = 64, 4, 2
+DIM, BITS, TABLES = 64, vectors.LSH_BITS, vectors.LSH_TABLES
 # A vector's positions and values, for the SQL side.
 FLAT = "SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings"
 
@@ -44,7 +44,7 @@ def mean_max_pool(spark: SparkSession, sf: str) -> DataFrame:
     return mean.join(top, ["label", "pos"]).join(flat(vectors.pooled(rows, ["label"], "embedding", weight="w"), "weighted"), ["label", "pos"])
 
 
-@query("E09", f"SELECT label, bucket, count(*) AS n FROM (SELECT label, {code(0)} AS bucket FROM embeddings UNION ALL SELECT label, {code(1)} FROM embeddings) GROUP BY 1, 2")
+@query("E09", "SELECT label, bucket, count(*) AS n FROM (" + " UNION ALL ".join(f"SELECT label, {code(t)} AS bucket FROM embeddings" for t in range(TABLES)) + ") GROUP BY 1, 2")
 def lsh_bag_of_concepts(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.concept_histogram(table(spark, sf, "embeddings"), "label", "embedding", DIM, bits=BITS, tables=TABLES)
 
@@ -56,10 +56,11 @@ def valid_embedding_gate(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.with_missing_as_zero(table(spark, sf, "documents").select("doc_id"), vecs, "doc_id", "embedding", DIM).select("doc_id", "valid")
 
 
-@query("E20 B13", "SELECT lang, " + ", ".join(f"max(CASE WHEN source = 'src{k}' THEN 1 ELSE 0 END) AS src{k}" for k in range(5)) + " FROM documents GROUP BY 1")
+@query("E20 B13")
 def mod_pivot_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    mods = [f"src{k}" for k in range(5)]
-    return table(spark, sf, "documents").groupBy("lang").pivot("source", mods).agg(F.max(F.lit(1))).na.fill(0, mods)
+    docs = table(spark, sf, "documents")
+    mods = [r[0] for r in docs.select("source").where("source is not null").distinct().orderBy("source").collect()]
+    return docs.groupBy("lang").pivot("source", mods).agg(F.max(F.lit(1))).na.fill(0, mods)
 
 
 SETS = """a AS (SELECT o_custkey AS k, list(DISTINCT o_orderpriority) AS s FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1), b AS (SELECT o_custkey AS k, list(DISTINCT o_orderpriority) AS s FROM orders WHERE o_orderkey % 2 = 1 GROUP BY 1)"""
@@ -190,31 +191,6 @@ def gene_scores(spark: SparkSession, sf: str) -> DataFrame:
     return ml.scored_genes(texts, lambda s: 1 / (1 + s.str.len())).select("item_id", "score")
 
 
-@query("E10", r"""
-SELECT doc_id, count(DISTINCT t) AS n_terms FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_\-]{2,}')) AS t FROM documents WHERE doc_id < 100) GROUP BY 1""")
-def bag_of_words_terms(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.ml.feature import RegexTokenizer
-
-    docs = table(spark, sf, "documents").where("doc_id < 100").select("doc_id", "text")
-    tokens = RegexTokenizer(inputCol="text", outputCol="t", gaps=False, pattern=r"[\p{L}\p{N}_\-]{2,}", toLowercase=True).transform(docs)
-    return tokens.select("doc_id", F.size(F.array_distinct("t")).cast("long").alias("n_terms")).where("n_terms > 0")
-
-
 @query("E10")
 def hashed_bag_of_words(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.bag_of_words(table(spark, sf, "documents").select("doc_id", "text"), "text").select("doc_id", "bow")
-
-
-# The queries above keep the bounds of their SQL; these cover all sources, and the production's buckets.
-
-
-@query("E20 B13")
-def whole_mod_pivot_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
-    mods = [r[0] for r in docs.select("source").where("source is not null").distinct().orderBy("source").collect()]
-    return docs.groupBy("lang").pivot("source", mods).agg(F.max(F.lit(1))).na.fill(0, mods)
-
-
-@query("E09")
-def whole_lsh_bag_of_concepts(spark: SparkSession, sf: str) -> DataFrame:
-    return vectors.concept_histogram(table(spark, sf, "embeddings"), "label", "embedding", DIM)

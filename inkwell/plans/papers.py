@@ -52,19 +52,14 @@ def tei_reader(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("D11 C11", """
-WITH t AS (SELECT user_id AS k, event_type AS token, event_id AS pos FROM events WHERE event_id < 5500), s AS (SELECT user_id AS k, min(event_id) AS a, min(event_id) + 5000 AS b FROM events WHERE event_id < 5500 GROUP BY 1)
+WITH t AS (SELECT user_id AS k, event_type AS token, event_id AS pos FROM events), s AS (SELECT user_id AS k, min(event_id) AS a, min(event_id) + 5000 AS b FROM events GROUP BY 1)
 SELECT k, token FROM t JOIN s USING (k) GROUP BY 1, 2 HAVING bool_and(pos >= a AND pos < b)""")
 def tokens_inside_spans(spark: SparkSession, sf: str) -> DataFrame:
-    return inside_spans(spark, sf, "pos < 5500")
+    return inside_spans(spark, sf)
 
 
-@query("D11 C11")
-def whole_tokens_inside_spans(spark: SparkSession, sf: str) -> DataFrame:
-    return inside_spans(spark, sf, "true")
-
-
-def inside_spans(spark: SparkSession, sf: str, which: str) -> DataFrame:
-    events = table(spark, sf, "events").select(F.col("user_id").alias("k"), F.col("event_type").alias("token"), F.col("event_id").alias("pos")).where(which)
+def inside_spans(spark: SparkSession, sf: str) -> DataFrame:
+    events = table(spark, sf, "events").select(F.col("user_id").alias("k"), F.col("event_type").alias("token"), F.col("event_id").alias("pos"))
     first = events.groupBy("k").agg(F.min("pos").alias("start"))
     cut = first.select("k", "start", (F.col("start") + 2500).alias("end"))
     rest = first.select("k", (F.col("start") + 2500).alias("start"), (F.col("start") + 5000).alias("end"))
@@ -127,33 +122,23 @@ def json_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("lang STRING, n BIGINT, first BIGINT").json(path)
 
 
-@query("B13", "SELECT vec_id, round(embedding[1]::DOUBLE, 6) AS d0, round(embedding[2]::DOUBLE, 6) AS d1, round(embedding[3]::DOUBLE, 6) AS d2 FROM embeddings")
+@query("B13", "SELECT vec_id, " + ", ".join(f"round(embedding[{i + 1}]::DOUBLE, 6) AS d{i}" for i in range(64)) + " FROM embeddings")
 def wide_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    wide = sinks.wide_vectors(table(spark, sf, "embeddings"), ["vec_id"], "embedding", 3)
-    return wide.select("vec_id", *[F.round(F.col(f"d{i}").cast("double"), 6).alias(f"d{i}") for i in range(3)])
-
-
-@query("B13")
-def whole_wide_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    return sinks.wide_vectors(table(spark, sf, "embeddings"), ["vec_id"], "embedding", 64)
+    wide = sinks.wide_vectors(table(spark, sf, "embeddings"), ["vec_id"], "embedding", 64)
+    return wide.select("vec_id", *[F.round(F.col(f"d{i}").cast("double"), 6).alias(f"d{i}") for i in range(64)])
 
 
 @query("B10 B18 C13", """
 WITH l AS (SELECT event_id, strftime(ts, '%y%m%d') || chr(9) || chr(9) || substr('AGRKB:' || CAST(user_id AS VARCHAR), 6) || chr(9) || CASE WHEN event_id % 2 = 0 THEN 'gene' ELSE 'UNKNOWN_FLAG_ATP:1' END || ':' ||
-CASE WHEN value IS NULL THEN 'UNKNOWN_LEVEL_NONE' WHEN value / 100 = 0 THEN 'neg' WHEN value / 100 < 0.667 THEN 'low' WHEN value / 100 < 0.833 THEN 'medium' ELSE 'high' END || chr(9) || CASE WHEN event_id % 2 = 0 THEN 'cam' ELSE 'UNKNOWN_ATP_ATP:1' END AS value FROM events WHERE event_id < 500)
+CASE WHEN value IS NULL THEN 'UNKNOWN_LEVEL_NONE' WHEN value / 100 = 0 THEN 'neg' WHEN value / 100 < 0.667 THEN 'low' WHEN value / 100 < 0.833 THEN 'medium' ELSE 'high' END || chr(9) || CASE WHEN event_id % 2 = 0 THEN 'cam' ELSE 'UNKNOWN_ATP_ATP:1' END AS value FROM events)
 SELECT CASE WHEN event_id < 250 THEN 0 ELSE 1 END AS part, value FROM l""")
 def export_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return exported(spark, sf, "event_id < 500")
-
-
-@query("B10 B18 C13")
-def whole_export_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return exported(spark, sf, "true")
+    return exported(spark, sf)
 
 
-def exported(spark: SparkSession, sf: str, which: str) -> DataFrame:
+def exported(spark: SparkSession, sf: str) -> DataFrame:
     topic = F.when(F.col("event_id") % 2 == 0, "ATP:0000005").otherwise("ATP:1")
-    events = table(spark, sf, "events").where(which)
+    events = table(spark, sf, "events")
     line = sinks.export_line(F.col("ts"), F.concat(F.lit("AGRKB:"), F.col("user_id").cast("string")), topic, levels.export_level(F.col("value") / 100))
     lines = events.select("event_id", line.alias("value"))
     return sinks.on_top(lines.where("event_id < 250"), lines.where("event_id >= 250"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from inkwell.functions import antibody, species, text
 from inkwell.operators import dictionary, taxonomy
 from inkwell.plans.catalog import query
+from inkwell.sources.storage import stored
 from inkwell.sources.tables import table
 
 MARK = "chr(1)"
@@ -27,16 +28,11 @@ HITS = ", ".join(
 
 
 @query("G15 G17 E21 C06", f"""
-WITH s AS (SELECT doc_id, ' ' || lower(unnest({SENTENCES})) || ' ' AS low FROM documents WHERE lang = 'en'),
+WITH s AS (SELECT doc_id, ' ' || lower(unnest({SENTENCES})) || ' ' AS low FROM documents),
 h AS (SELECT DISTINCT doc_id, unnest([{HITS}]) AS m FROM s)
-SELECT d.doc_id, n.note, n.note IS NULL AS negated FROM (SELECT doc_id FROM documents WHERE lang = 'en') d
+SELECT d.doc_id, n.note, n.note IS NULL AS negated FROM documents d
 LEFT JOIN (SELECT doc_id, string_agg(m, ', ' ORDER BY m) AS note FROM h WHERE m IS NOT NULL GROUP BY 1) n USING (doc_id)""")
 def antibody_style_rules(spark: SparkSession, sf: str) -> DataFrame:
-    return antibody_notes(table(spark, sf, "documents").where("lang = 'en'"))
-
-
-@query("G15 G17 E21 C06")
-def whole_antibody_style_rules(spark: SparkSession, sf: str) -> DataFrame:
     return antibody_notes(table(spark, sf, "documents"))
 
 
@@ -123,12 +119,12 @@ def bow_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", F.size(w).cast("long").alias("n_words"), F.size(F.array_distinct(F.transform(w, F.lower))).cast("long").alias("n_distinct")).where("n_words > 0")
 
 
-NAMES = rf"""SELECT DISTINCT lower(regexp_replace(w, '^[^\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+$', '', 'g')) AS token FROM (SELECT {WORDS} AS w FROM benchmark WHERE item_id < 20)"""
+NAMES = rf"""SELECT DISTINCT lower(regexp_replace(w, '^[^\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+$', '', 'g')) AS token FROM (SELECT {WORDS} AS w FROM benchmark)"""
 TOKENS = rf"""SELECT doc_id, lower(regexp_replace(w, '^[^\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+$', '', 'g')) AS token FROM (SELECT doc_id, {WORDS} AS w FROM documents)"""
 
 
-def curated_names(spark: SparkSession, sf: str, which: str = "item_id < 20") -> DataFrame:
-    items = table(spark, sf, "benchmark").where(which)
+def curated_names(spark: SparkSession, sf: str) -> DataFrame:
+    items = table(spark, sf, "benchmark")
     return dictionary.tokens(items, "item_id", "text").select(F.lower("token").alias("name")).distinct()
 
 
@@ -159,29 +155,12 @@ def tfidf_gate(spark: SparkSession, sf: str) -> DataFrame:
 
 def gated(spark: SparkSession, sf: str, names: DataFrame) -> DataFrame:
     docs = table(spark, sf, "documents")
-    counts = dictionary.mentions(docs, names)
+    # Written once: its sizes, frequencies and rows are each read.
+    counts = stored(dictionary.mentions(docs, names), "mentions")
     passed = dictionary.tfidf_gate(counts, dictionary.idf(counts, docs.count()), 0.5, 2)
     return passed.withColumn("tfidf", F.round("tfidf", 9))
 
 
-# The queries above keep the bounds of their SQL; these take the names of all items.
-
-
-@query("D13 E02 E03")
-def whole_dictionary_mentions(spark: SparkSession, sf: str) -> DataFrame:
-    return dictionary.mentions(table(spark, sf, "documents"), curated_names(spark, sf, "true")).where("n >= 2")
-
-
-@query("E11 E12")
-def whole_document_frequency_idf(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded_idf(spark, sf, curated_names(spark, sf, "true"))
-
-
-@query("E04 E05 C20 H15")
-def whole_tfidf_gate(spark: SparkSession, sf: str) -> DataFrame:
-    return gated(spark, sf, curated_names(spark, sf, "true"))
-
-
 @query("D14 D12")
 def dictionary_longest_match(spark: SparkSession, sf: str) -> DataFrame:
     # Of every item its whole text and, as a short name, its first words.
@@ -191,23 +170,18 @@ def dictionary_longest_match(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("D01 D02 D03 G22", """
-WITH names AS (SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE upper(p_name) END AS name FROM part WHERE p_partkey < 500),
+WITH names AS (SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE upper(p_name) END AS name FROM part),
 cur AS (SELECT p_name AS name, max('PART:' || CAST(p_partkey AS VARCHAR)) AS curie FROM part WHERE p_size < 40 GROUP BY 1),
 up AS (SELECT upper(name) AS u, max(curie) AS curie FROM cur GROUP BY 1)
 SELECT n.p_partkey, n.name, coalesce(c.curie, u.curie) AS curie FROM names n LEFT JOIN cur c ON n.name = c.name LEFT JOIN up u ON upper(n.name) = u.u WHERE coalesce(c.curie, u.curie) IS NOT NULL""")
 def name_to_curie_fallback(spark: SparkSession, sf: str) -> DataFrame:
-    return resolved_parts(spark, sf, "p_partkey < 500")
-
+    return resolved_parts(spark, sf)
 
-@query("D01 D02 D03 G22")
-def whole_name_to_curie_fallback(spark: SparkSession, sf: str) -> DataFrame:
-    return resolved_parts(spark, sf, "true")
 
-
-def resolved_parts(spark: SparkSession, sf: str, which: str) -> DataFrame:
+def resolved_parts(spark: SparkSession, sf: str) -> DataFrame:
     part = table(spark, sf, "part")
     curated = part.where("p_size < 40").select(F.col("p_name").alias("name"), F.concat(F.lit("PART:"), F.col("p_partkey").cast("string")).alias("curie"))
-    names = part.where(which).select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, F.col("p_name")).otherwise(F.upper("p_name")).alias("name"))
+    names = part.select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, F.col("p_name")).otherwise(F.upper("p_name")).alias("name"))
     return dictionary.resolve(names, curated)
 
 
@@ -226,14 +200,9 @@ def taxon_default_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("F14", """
-WITH t AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '[A-Za-z]{3,}')) AS name FROM documents WHERE lang = 'en')
+WITH t AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '[A-Za-z]{3,}')) AS name FROM documents)
 SELECT doc_id, count(*) AS n FROM t WHERE NOT EXISTS (SELECT 1 FROM t x WHERE x.doc_id = t.doc_id AND upper(x.name) = t.name AND x.name <> upper(x.name)) GROUP BY 1""")
 def no_shouting_twins(spark: SparkSession, sf: str) -> DataFrame:
-    return unshouted(table(spark, sf, "documents").where("lang = 'en'"))
-
-
-@query("F14")
-def whole_no_shouting_twins(spark: SparkSession, sf: str) -> DataFrame:
     return unshouted(table(spark, sf, "documents"))
 
 

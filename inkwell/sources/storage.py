@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
@@ -20,3 +20,10 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if base is None:
         base = tempfile.mkdtemp(prefix="inkwell-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(data: DataFrame, purpose: str = "rows") -> DataFrame:
+    """``data`` written once to the shared folder: computed once however often it is read, and its row ids stay the same."""
+    path = shared_folder(data.sparkSession, purpose)
+    data.write.parquet(path)
+    return data.sparkSession.read.schema(data.schema).parquet(path)
