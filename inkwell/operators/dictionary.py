@@ -10,11 +10,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkwell.functions.text import words
+from inkwell.sources.storage import stored
 
 #: The longest list of names that is broadcast.
 MOST_NAMES = 1_000_000
@@ -133,7 +134,15 @@ def longest_matches(docs: DataFrame, names: list[str], key: str = "doc_id", text
 
 
 def token_ids(names: DataFrame) -> DataFrame:
-    """token, id: numbers from 1 in the order of the tokens (0 is unknown)."""
-    from pyspark.sql import Window
+    """token, id: numbers from 1 in the order of the tokens (0 is unknown).
 
-    return names.select("token").distinct().withColumn("id", F.row_number().over(Window.orderBy("token")))
+    Tokens are partitioned by range and numbered within, after the ranges before.
+    """
+    parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stored(names.select("token").distinct().repartitionByRange(parts, "token").withColumn("__part", F.spark_partition_id()), "tokens")
+    sizes = ranged.groupBy("__part").agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    bases = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
+    place = F.row_number().over(Window.partitionBy("__part").orderBy("token"))
+    # As many rows as ranges: a bounded broadcast.
+    return ranged.withColumn("__place", place).join(F.broadcast(bases), "__part").select("token", (F.col("__base") + F.col("__place")).alias("id"))

@@ -19,30 +19,44 @@ from pyspark.sql import functions as F
 from inkwell.sources.storage import stored
 
 SEED = 42
+#: A class's shuffled order is cut into two to this many buckets.
+BUCKET_BITS = 8
 FOLDS = 5
 
 
-def class_rank(label: str, key: str, seed: int = SEED) -> Column:
-    """A row's place in a shuffled order of its class, from 1; a function of key and seed."""
-    return F.row_number().over(Window.partitionBy(label).orderBy(F.xxhash64(key, F.lit(seed)), key))
+def with_class_rank(df: DataFrame, label: str, key: str, seed: int = SEED) -> DataFrame:
+    """``df`` with ``__r``, a row's place in a shuffled order of its class from 1 (a function of key and seed), and ``__n``, the class's size.
+
+    The order is that of a hash, whose high bits cut each class into buckets:
+    rows are ranked within a bucket, after the buckets before it, so no task
+    holds a class.
+    """
+    drawn = df.withColumn("__h", F.xxhash64(key, F.lit(seed))).withColumn("__b", F.shiftright("__h", 64 - BUCKET_BITS).cast("int"))
+    sizes = drawn.groupBy(label, "__b").agg(F.count("*").alias("__size"))
+    own = Window.partitionBy(label)
+    before = own.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.select(F.col(label).alias("__label"), F.col("__b").alias("__bucket"), F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__base"), F.sum("__size").over(own).alias("__n"))
+    place = F.row_number().over(Window.partitionBy(label, "__b").orderBy("__h", key))
+    met = F.col(label).eqNullSafe(F.col("__label")) & (F.col("__b") == F.col("__bucket"))
+    # At most classes x buckets rows: a bounded broadcast.
+    ranked = drawn.withColumn("__place", place).join(F.broadcast(bases), met)
+    return ranked.withColumn("__r", F.col("__base") + F.col("__place")).drop("__h", "__b", "__place", "__label", "__bucket", "__base")
 
 
 def stratified_split(df: DataFrame, label: str, key: str, share: float = 0.2, seed: int = SEED) -> DataFrame:
     """``df`` with ``held_out``: about ``share`` of each class."""
-    ranked = df.withColumn("__r", class_rank(label, key, seed))
-    n = F.count("*").over(Window.partitionBy(label))
-    return ranked.withColumn("held_out", F.col("__r") <= F.round(n * share)).drop("__r")
+    return with_class_rank(df, label, key, seed).withColumn("held_out", F.col("__r") <= F.round(F.col("__n") * share)).drop("__r", "__n")
 
 
 def folds(df: DataFrame, label: str, key: str, k: int = FOLDS, seed: int = SEED) -> DataFrame:
-    return df.withColumn("fold", (class_rank(label, key, seed) - 1) % k)
+    return with_class_rank(df, label, key, seed).withColumn("fold", ((F.col("__r") - 1) % k).cast("int")).drop("__r", "__n")
 
 
 def undersampled(df: DataFrame, label: str, key: str, large: Any, like: Any, seed: int = SEED) -> DataFrame:
     """At most as many rows of class ``large`` as class ``like`` has."""
     counts = df.where(F.col(label) == F.lit(like)).agg(F.count("*").alias("__most"))
-    ranked = df.withColumn("__r", class_rank(label, key, seed)).crossJoin(F.broadcast(counts))  # one row
-    return ranked.where((F.col(label) != F.lit(large)) | (F.col("__r") <= F.col("__most"))).drop("__r", "__most")
+    ranked = with_class_rank(df, label, key, seed).crossJoin(F.broadcast(counts))  # one row
+    return ranked.where((F.col(label) != F.lit(large)) | (F.col("__r") <= F.col("__most"))).drop("__r", "__n", "__most")
 
 
 def penalised(test: Column, cv: Column) -> Column:

@@ -148,8 +148,8 @@ def fold_sizes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("F10", "SELECT event_type, least(count(*), 10) AS n FROM events GROUP BY 1")
 def seeded_sample(spark: SparkSession, sf: str) -> DataFrame:
-    ranked = table(spark, sf, "events").select("event_type", "event_id", ml.class_rank("event_type", "event_id", 7).alias("r"))
-    return ranked.where("r <= 10").groupBy("event_type").agg(F.count("*").alias("n"))
+    ranked = ml.with_class_rank(table(spark, sf, "events").select("event_type", "event_id"), "event_type", "event_id", 7)
+    return ranked.where("__r <= 10").groupBy("event_type").agg(F.count("*").alias("n"))
 
 
 def vector_data(spark: SparkSession, sf: str) -> DataFrame:

@@ -190,3 +190,18 @@ def test_antibody_rules_in_all_languages(spark):
     rows = registry.queries()["antibody_style_rules"](spark, SF).collect()
     assert {r.doc_id: r.note for r in rows} == expected
     assert all(r.negated == (r.note is None) for r in rows)
+
+
+def test_ranks_are_gapless_and_follow_the_hash(spark):
+    from pyspark.sql import functions as F
+
+    from inkwell.operators import dictionary, ml
+
+    df = spark.range(3000).select(F.col("id").alias("k"), F.when(F.col("id") % 10 > 0, "a").when(F.col("id") % 20 > 0, "b").alias("c"))
+    rows = ml.with_class_rank(df, "c", "k", 9).withColumn("h", F.xxhash64("k", F.lit(9))).collect()
+    for c, size in (("a", 2700), ("b", 150), (None, 150)):
+        own = sorted((r["h"], r["k"], r["__r"]) for r in rows if r["c"] == c)
+        assert [r for _, _, r in own] == list(range(1, size + 1)) and {r["__n"] for r in rows if r["c"] == c} == {size}
+    names = spark.createDataFrame([(t,) for t in ("b", "a", "ä", "Z", "a", "zz", "m")], "token string")
+    assert {r.token: r.id for r in dictionary.token_ids(names).collect()} == {t: i for i, t in enumerate(sorted({"b", "a", "ä", "Z", "zz", "m"}), 1)}
+    assert dictionary.token_ids(names.limit(0)).count() == 0 and ml.with_class_rank(df.limit(0), "c", "k").count() == 0
