@@ -32,7 +32,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html import unescape
 from typing import NamedTuple
 
@@ -87,18 +87,24 @@ class Block(NamedTuple):
     heading: bool
 
 
-class Tag(NamedTuple):
-    first: int
-    last: int
-    name: str  # empty for comments, declarations and such
-    ends: bool
-    attributes: str
+#: First, last, name (empty for comments, declarations and such), whether it ends an element, attributes.
+Tag = tuple[int, int, str, bool, str]
+#: A tag whose values are quoted right after their equals sign and hold no angle bracket: most are.
+USUAL = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>\"'=]++|=\"[^\"<>]*+\"|='[^'<>]*+'|=(?![\"']))*+)>")
 
 
 def tags(page: str) -> Iterator[Tag]:
     """The markup of a page in order; a raw element (a script, say) is one tag with what it holds."""
     at, gone = 0, set()  # quotes that no longer come, so that none is looked for twice
     while (first := page.find("<", at)) >= 0:
+        if usual := USUAL.match(page, first):
+            slash, tag, attributes = usual.groups()
+            tag, at = tag.lower(), usual.end()
+            if tag in RAW and not slash:
+                close = RAW_ENDS[tag].search(page, at)
+                at = close.end() if close else len(page)
+            yield first, at, tag, bool(slash), attributes
+            continue
         ends = page.startswith("/", first + 1)
         name = TAG_NAME.match(page, first + 1 + ends)
         if not name:
@@ -111,7 +117,7 @@ def tags(page: str) -> Iterator[Tag]:
             else:
                 at = first + 1
                 continue
-            yield Tag(first, at, "", False, "")
+            yield first, at, "", False, ""
             continue
         last = name.end()
         while True:
@@ -129,7 +135,7 @@ def tags(page: str) -> Iterator[Tag]:
         if tag in RAW and not ends:
             close = RAW_ENDS[tag].search(page, at)
             at = close.end() if close else len(page)
-        yield Tag(first, at, tag, ends, attributes)
+        yield first, at, tag, ends, attributes
 
 
 RAW_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*+(?:>|\Z)", re.IGNORECASE) for tag in RAW}
@@ -156,7 +162,7 @@ class Holder:
         self.size, self.holds, self.boiler = 0, "", False
 
 
-def blocks(page: str) -> list[Block]:
+def blocks(page: str, marks: Iterable[Tag] | None = None) -> list[Block]:
     holders = [Holder(-1, "", "", False)]
     found: list[tuple[str, int, int, bool]] = []  # text, linked, holder, heading
     stack, opened = [0], Counter()
@@ -183,16 +189,17 @@ def blocks(page: str) -> list[Block]:
             linked += len(chunk) * link
 
     closed: dict[str, int] = {}  # where the next end tag of a hidden element is
-    for t in tags(page):
-        read(page[at : t.first])
-        at, tag, ends = t.last, t.name, t.ends
+    for before, after, tag, ends, attributes in tags(page) if marks is None else marks:
+        if at < before:
+            read(page[at:before])
+        at = after
         if not tag or tag in RAW:
             continue
         if tag in UNSEEN:
             close()
             if ends:
                 hidden -= unseen.pop(tag, 0)
-            elif not t.attributes.endswith("/"):
+            elif not attributes.endswith("/"):
                 # One that is never closed hides nothing; a head ends with the body at last.
                 if tag != "head" and closed.get(tag, -1) < at:
                     end = re.compile(f"</{tag}", re.IGNORECASE).search(page, at)
@@ -214,11 +221,11 @@ def blocks(page: str) -> list[Block]:
             if tag not in CONTAINERS:
                 continue
             if not ends:
-                if t.attributes.endswith("/"):
+                if attributes.endswith("/"):
                     continue
                 above = holders[stack[-1]]
                 kind = "tag" if tag in BOILER_TAGS else "weak" if tag == "form" or (tag == "header" and not above.article) else ""
-                if not kind and (word := named_boiler(t.attributes)):
+                if not kind and (word := named_boiler(attributes)):
                     kind = "comments" if word in COMMENTS else "weak"
                 stack.append(len(holders))
                 holders.append(Holder(stack[-2], tag, kind, above.article or tag in ("article", "main")))
@@ -301,8 +308,8 @@ def main_text(page: str) -> str:
     return "\n".join(b.text for b, keep in zip(cut, classify(cut), strict=True) if keep)
 
 
-def visible_text(page: str) -> str:
-    return "\n".join(b.text for b in blocks(page))
+def visible_text(page: str, marks: Iterable[Tag] | None = None) -> str:
+    return "\n".join(b.text for b in blocks(page, marks))
 
 
 def extract(df: DataFrame, html: str = "html", *, keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

@@ -116,10 +116,6 @@ def read_records(data: bytes) -> Iterator[Record]:
         yield Record(headers, data[stream.tell() : at])
 
 
-def links(page: str) -> int:
-    return sum(t.name == "a" and not t.ends and "href" in t.attributes.lower() for t in tags(page))
-
-
 def derive(source: Record) -> list[Record]:
     """The metadata and conversion records of a response; none of other records."""
     head, end, body = source.block.partition(b"\r\n\r\n")
@@ -127,13 +123,15 @@ def derive(source: Record) -> list[Record]:
         return []
     target, date, own = source.get("WARC-Target-URI") or "", source.get("WARC-Date") or "", source.get("WARC-Record-ID") or ""
     page = body.decode(errors="replace")
+    marks = list(tags(page))
+    links = sum(name == "a" and not ends and "href" in attributes.lower() for _, _, name, ends, attributes in marks)
     lines = head.decode(errors="replace").split("\r\n")
     fields = [("status", lines[0].split(" ", 2)[1] if " " in lines[0] else "")]
     fields += [(f"http-{k.strip().lower()}", v.strip()) for k, _, v in (x.partition(":") for x in lines[1:])]
-    fields += [("source-block-digest", source.get("WARC-Block-Digest") or sha1(source.block)), ("source-payload-digest", source.get("WARC-Payload-Digest") or sha1(body)), ("payload-length", str(len(body))), ("outlinks", str(links(page)))]
+    fields += [("source-block-digest", source.get("WARC-Block-Digest") or sha1(source.block)), ("source-payload-digest", source.get("WARC-Payload-Digest") or sha1(body)), ("payload-length", str(len(body))), ("outlinks", str(links))]
     back = (("WARC-Refers-To", own), ("WARC-Refers-To-Target-URI", target), ("WARC-Refers-To-Date", date))
     about = record("metadata", "".join(f"{k}: {v}\r\n" for k, v in fields).encode(), target, date, "application/warc-fields", *back, name=own)
-    text = record("conversion", visible_text(page).encode(), target, date, "text/plain; charset=utf-8", *back, ("WARC-Source-Payload-Digest", source.get("WARC-Payload-Digest") or sha1(body)), name=own)
+    text = record("conversion", visible_text(page, marks).encode(), target, date, "text/plain; charset=utf-8", *back, ("WARC-Source-Payload-Digest", source.get("WARC-Payload-Digest") or sha1(body)), name=own)
     return [about, text]
 
 
