@@ -52,7 +52,7 @@ def tei_reader(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("D11 C11", """
-WITH t AS (SELECT user_id AS k, event_type AS token, event_id AS pos FROM events), s AS (SELECT user_id AS k, min(event_id) AS a, min(event_id) + 5000 AS b FROM events GROUP BY 1)
+WITH t AS (SELECT user_id AS k, event_type AS token, event_id AS pos FROM events), s AS (SELECT user_id AS k, min(event_id) AS a, max(event_id) AS b FROM events GROUP BY 1)
 SELECT k, token FROM t JOIN s USING (k) GROUP BY 1, 2 HAVING bool_and(pos >= a AND pos < b)""")
 def tokens_inside_spans(spark: SparkSession, sf: str) -> DataFrame:
     return inside_spans(spark, sf)
@@ -60,9 +60,10 @@ def tokens_inside_spans(spark: SparkSession, sf: str) -> DataFrame:
 
 def inside_spans(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select(F.col("user_id").alias("k"), F.col("event_type").alias("token"), F.col("event_id").alias("pos"))
-    first = events.groupBy("k").agg(F.min("pos").alias("start"))
-    cut = first.select("k", "start", (F.col("start") + 2500).alias("end"))
-    rest = first.select("k", (F.col("start") + 2500).alias("start"), (F.col("start") + 5000).alias("end"))
+    # Two spans that meet, up to each user's last event, which is outside.
+    ends = events.groupBy("k").agg(F.min("pos").alias("first"), F.max("pos").alias("last")).withColumn("middle", F.expr("(first + last) div 2"))
+    cut = ends.select("k", F.col("first").alias("start"), F.col("middle").alias("end"))
+    rest = ends.select("k", F.col("middle").alias("start"), F.col("last").alias("end"))
     return papers.page_only(events, cut.unionByName(rest), "k")
 
 

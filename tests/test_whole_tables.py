@@ -119,11 +119,12 @@ def test_names_of_all_parts(spark):
 
 def test_spans_of_all_events(spark):
     at = defaultdict(list)
-    first = {}
+    last = {}
     for e in rows_of(spark, "events", MORE):
         at[e.user_id, e.event_type].append(e.event_id)
-        first[e.user_id] = min(first.get(e.user_id, e.event_id), e.event_id)
-    expected = {(k, t) for (k, t), ids in at.items() if max(ids) < first[k] + 5000}
+        last[e.user_id] = max(last.get(e.user_id, e.event_id), e.event_id)
+    expected = {(k, t) for (k, t), ids in at.items() if max(ids) < last[k]}
+    assert expected
     found = [tuple(r) for r in registry.queries()["tokens_inside_spans"](spark, MORE).collect()]
     assert len(found) == len(expected) and set(found) == expected
 
