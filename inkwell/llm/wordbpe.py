@@ -10,6 +10,7 @@ with a very long word go to the library itself, so the ids are always its own.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 from functools import lru_cache
@@ -19,8 +20,8 @@ import numpy as np
 NONE = np.int32(2**31 - 1)
 #: Longer words are encoded by the library.
 LONGEST = 48
-#: Chunks kept by one Python worker; at that number it starts afresh.
-MOST_CHUNKS = 500_000
+#: Chunks kept by one Python worker (about 100 MB); at that number it starts afresh.
+MOST_CHUNKS = 1_000_000
 
 # Of this restricted alphabet the vocabulary's split pattern needs no Unicode classes.
 PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
@@ -160,8 +161,14 @@ class WordBpe:
 
 @lru_cache(maxsize=2)
 def word_bpe(path: str) -> WordBpe:
-    """One per Python worker, kept between its tasks."""
-    return WordBpe(path)
+    """One per Python worker, kept between its tasks.
+
+    Lists of words have no cycles, so the worker looks for cycles less often.
+    """
+    made = WordBpe(path)
+    gc.freeze()
+    gc.set_threshold(100_000, 50, 1000)
+    return made
 
 
 def default_path() -> str:
