@@ -131,3 +131,18 @@ def merged_pieces(tokens: Column) -> Column:
         return F.when(piece.startswith("##") & (F.size(done) > 0), grown).otherwise(F.concat(done, F.array(piece)))
 
     return F.aggregate(tokens, F.array().cast("array<string>"), step)
+
+
+LINK = r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']*specific_papers=WBPaper[^\"']*)[\"']"
+LISTED = r"(?is)<textarea\b[^>]*?\bname\s*=\s*[\"']specific_papers[\"'][^>]*>(.*?)</textarea>"
+
+
+def paper_ids(html: Column) -> Column:
+    """Paper ids of links to lists of papers and of the list's text field, in the order of their first occurrence.
+
+    In the field, a word of eight digits is an id without its prefix; any word with the prefix counts as it is.
+    """
+    linked = F.transform(F.regexp_extract_all(html, F.lit(LINK), F.lit(1)), lambda h: F.regexp_extract(h, r"WBPaper\d{8}", 0))
+    words = F.split(F.trim(F.regexp_replace(F.regexp_extract(html, LISTED, 1), r"\s+", " ")), " ")
+    named = F.transform(words, lambda w: F.when(w.startswith("WBPaper"), w).when(w.rlike(r"^\d{8}$"), F.concat(F.lit("WBPaper"), w)))
+    return F.array_distinct(F.filter(F.concat(linked, named), lambda p: p.isNotNull() & (p != "")))

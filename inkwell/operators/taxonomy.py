@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkwell.operators.picks import first_wins
+
 
 def merged_edges(*sets: DataFrame) -> DataFrame:
     out = sets[0].select("parent", "child")
@@ -14,14 +16,50 @@ def merged_edges(*sets: DataFrame) -> DataFrame:
 
 
 def edges_or_baked(found: DataFrame, baked: DataFrame, curated: DataFrame | None = None) -> DataFrame:
-    """Online edges with the baked ones (which alone remain if none were found), among curated nodes only."""
+    """Online edges with the baked ones, among which only curated children stay; without online edges the baked ones as they are."""
+    if found.isEmpty():
+        return merged_edges(baked)
     edges = merged_edges(found, baked)
     if curated is not None:
-        own = curated.select("curie")
-        edges = edges.join(own.withColumnRenamed("curie", "parent"), "parent", "left_semi").join(own.withColumnRenamed("curie", "child"), "child", "left_semi")
+        edges = edges.join(curated.select(F.col("curie").alias("child")), "child", "left_semi")
     return edges.select("parent", "child")
 
 
+# Ranks from the nearest to the root, ranks below a species, and ids at the root.
+RANKS = ("species", "genus", "family", "order", "class", "phylum", "kingdom", "domain", "superkingdom")
+BELOW_SPECIES = ("subspecies", "strain", "isolate", "biovar", "serovar", "pathovar")
+ROOTS = (1, 131567)
+NODE = "struct<taxonomy:struct<rank:string,parents:array<string>,parent_tax_id:string,classification:map<string,struct<id:string>>>>"
+
+
+def lineage(records: DataFrame, json: str = "json") -> DataFrame:
+    """``records`` with parent_tid, rank, parents and ranks (ids by classification) of taxonomy records, both nearest first.
+
+    Parents are turned so that the immediate one comes first; where it is not
+    among them, they are reversed if they begin at the root. The species
+    counts only for ranks below it. A record that isn't one, or has no nodes,
+    gives a null, an empty rank and empty lists.
+    """
+    node = F.get(F.from_json(json, f"struct<taxonomy_nodes:array<{NODE}>>")["taxonomy_nodes"], F.lit(0))["taxonomy"]
+    number = lambda c: c.try_cast("bigint")
+    rank = F.lower(F.replace(F.coalesce(node["rank"], F.lit("")), F.lit("_"), F.lit(" ")))
+    parents = F.filter(F.transform(F.coalesce(node["parents"], F.array().cast("array<string>")), number), lambda p: p.isNotNull())
+    parent = number(node["parent_tax_id"])
+    at = F.coalesce(F.array_position(parents, parent), F.lit(0)).cast("int")
+    turned = F.concat(F.slice(parents, F.greatest(at, F.lit(1)), F.size(parents)), F.slice(parents, F.lit(1), F.greatest(at - 1, F.lit(0))))
+    nearest = F.when(at > 0, turned).when(F.get(parents, F.lit(0)).isin(*ROOTS), F.reverse(parents)).otherwise(parents)
+    below = rank.rlike("|".join(BELOW_SPECIES))
+    ids = [number(F.try_element_at(node["classification"], F.lit(r))["id"]) for r in RANKS]
+    ranks = F.array_distinct(F.array_compact(F.array(F.when(below, ids[0]), *ids[1:])))
+    return records.withColumns({"parent_tid": parent, "rank": rank, "parents": nearest, "ranks": ranks})
+
+
+def first_lineage(records: DataFrame, key: str = "taxid", source: str = "source") -> DataFrame:
+    """One row of ``lineage`` for each key: that of the first provider (by ``source``) that says anything; keys without one are left out."""
+    said = (F.size("parents") > 0) | (F.size("ranks") > 0) | F.col("parent_tid").isNotNull()
+    return first_wins(records.where(said), [key], [source])
+
+
 def reverse_index(edges: DataFrame) -> DataFrame:
     return edges.groupBy("child").agg(F.array_sort(F.collect_set("parent")).alias("parents"))
 

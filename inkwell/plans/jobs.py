@@ -41,7 +41,7 @@ def latest_job_state(spark: SparkSession, sf: str) -> DataFrame:
     return picks.latest_state(events, "user_id", "event_id").select("user_id", "event_id", "event_type")
 
 
-@query("F02 F03 A10", """
+@query("F02 F03", """
 SELECT DISTINCT ON (l_orderkey) l_orderkey, l_linenumber, l_partkey, l_returnflag FROM lineitem WHERE l_returnflag IN ('R', 'A')
 ORDER BY l_orderkey, CASE l_returnflag WHEN 'R' THEN 0 ELSE 1 END, l_linenumber, l_partkey""")
 def distinct_on_pick(spark: SparkSession, sf: str) -> DataFrame:
@@ -86,7 +86,7 @@ def update_from_join(spark: SparkSession, sf: str) -> DataFrame:
     return picks.updated(orders, new, ["o_orderkey"], "o_totalprice", "v")
 
 
-@query("A05 A06 F03", """
+@query("A06 F03", """
 SELECT user_id, event_id, scope FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY CASE WHEN scope = 'M1' THEN 0 WHEN scope IS NULL THEN 1 ELSE 2 END, event_id) AS rn FROM (
     SELECT user_id, event_id, CASE WHEN event_id % 3 = 0 THEN NULL WHEN event_id % 3 = 1 THEN 'M1' ELSE 'M2' END AS scope FROM events WHERE event_type = 'click') s) t
@@ -99,7 +99,7 @@ def prefer_scoped_then_global(spark: SparkSession, sf: str) -> DataFrame:
     return picks.prefer(files, ["user_id"], [own, picks.in_scope("mods", "M1"), F.lit(True)], ["event_id"]).select("user_id", "event_id", "scope")
 
 
-@query("A09", "SELECT event_id FROM events WHERE event_type = 'click' AND event_id % 3 = 1")
+@query("C07", "SELECT event_id FROM events WHERE event_type = 'click' AND event_id % 3 = 1")
 def strict_scope(spark: SparkSession, sf: str) -> DataFrame:
     files = table(spark, sf, "events").where("event_type = 'click'")
     named = F.when(F.col("event_id") % 3 == 1, "M1").when(F.col("event_id") % 3 == 2, "M2")
@@ -107,7 +107,7 @@ def strict_scope(spark: SparkSession, sf: str) -> DataFrame:
     return files.where(picks.strictly_in_scope("mods", "M1")).select("event_id")
 
 
-@query("A07 F04", "SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events WHERE event_type = 'view'")
+@query("F04", "SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events WHERE event_type = 'view'")
 def numbered_supplements(spark: SparkSession, sf: str) -> DataFrame:
     views = table(spark, sf, "events").where("event_type = 'view'").select("user_id", "event_id")
     return picks.numbered(views, ["user_id"], ["event_id"])
@@ -131,13 +131,6 @@ def recent_tags_export(spark: SparkSession, sf: str) -> DataFrame:
     return recent.select("event_id", "user_id", levels.export_level(F.col("value")).alias("level"))
 
 
-@query("A20", """
-SELECT label, vec_id FROM (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS rn FROM embeddings WHERE vec_id % 3 = 1 AND vec_id % 2 = 0) t WHERE rn = 1""")
-def embedding_file_pick(spark: SparkSession, sf: str) -> DataFrame:
-    files = table(spark, sf, "embeddings").select("label", "vec_id")
-    return picks.first_wins(files.where("vec_id % 3 = 1 and vec_id % 2 = 0"), ["label"], ["vec_id"])
-
-
 @query("A24", """
 WITH t AS (SELECT o_custkey AS dataset, year(o_orderdate) AS version, o_orderkey FROM orders)
 SELECT t.dataset, t.version, count(*) AS n FROM t JOIN (
@@ -168,7 +161,7 @@ def jobs_with_models(spark: SparkSession, sf: str) -> DataFrame:
     return joined.groupBy("topic", "mod_id", F.when(F.col("ml_model_id").isNull(), "no model").alias("reason")).agg(F.count("*").alias("n"))
 
 
-@query("B01 B02 B03 B06 B08 B19", """
+@query("B01 B06", """
 SELECT user_id, event_type, min(event_id) AS event_id FROM events e WHERE event_type <> 'click'
 AND NOT EXISTS (SELECT 1 FROM events x WHERE x.user_id = e.user_id AND x.event_type = e.event_type AND x.event_id < 2000) GROUP BY 1, 2""")
 def idempotent_tag_append(spark: SparkSession, sf: str) -> DataFrame:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from inkwell.plans import catalog, jobs, models, papers, texts
+from inkwell.plans import catalog, jobs, library, models, papers, texts
 from inkwell.plans.catalog import Query
 
-MODULES = (jobs, models, papers, texts)
+MODULES = (jobs, library, models, papers, texts)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -103,12 +103,6 @@ def strip_markup(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", text.closed_sentence(text.without_markup(F.col("html"))).alias("text"))
 
 
-@query("A28", r"SELECT page_id, array_to_string(list_sort(list_distinct(regexp_extract_all(url || ' ' || html, '[0-9]{4,8}'))), ',') AS ids FROM pages")
-def html_paper_ids(spark: SparkSession, sf: str) -> DataFrame:
-    found = F.array_distinct(F.regexp_extract_all(F.concat_ws(" ", "url", "html"), F.lit("([0-9]{4,8})"), F.lit(1)))
-    return table(spark, sf, "pages").select("page_id", F.array_join(F.array_sort(found), ",").alias("ids"))
-
-
 WORDS = r"unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))"
 
 
@@ -255,7 +249,7 @@ def geography(spark: SparkSession, sf: str) -> DataFrame:
     return taxonomy.merged_edges(region.select(F.lit("W").alias("parent"), name("R", "r_regionkey").alias("child")), nation.select(name("R", "n_regionkey").alias("parent"), name("N", "n_nationkey").alias("child")))
 
 
-@query("E24 F15 F20 C17", f"SELECT child, string_agg(parent, ',' ORDER BY parent) AS parents FROM ({EDGES}) GROUP BY 1")
+@query("E24 F15", f"SELECT child, string_agg(parent, ',' ORDER BY parent) AS parents FROM ({EDGES}) GROUP BY 1")
 def reverse_index(spark: SparkSession, sf: str) -> DataFrame:
     return taxonomy.reverse_index(geography(spark, sf)).select("child", F.array_join("parents", ",").alias("parents"))
 

@@ -123,6 +123,14 @@ def curies(lines: DataFrame, prefix: str | None = None, line: str = "value") ->
     return own.where(F.col("curie").startswith(prefix)) if prefix else own
 
 
+def word_vectors(lines: DataFrame, dim: int, line: str = "value") -> DataFrame:
+    """word, vec of lines of a word and ``dim`` numbers; a header, lines of another length and lines with anything but numbers are left out."""
+    parts = F.split(F.rtrim(line), " ")
+    own = lines.select(parts.alias("__parts")).where(F.size("__parts") == dim + 1)
+    vec = F.transform(F.slice("__parts", 2, dim), lambda x: x.try_cast("float"))
+    return own.select(F.col("__parts")[0].alias("word"), vec.alias("vec")).where(~F.exists("vec", lambda x: x.isNull()))
+
+
 def entity_lists(rows: DataFrame, column: str) -> Column:
     """Upper-case entities of a column of pipe lists, without database prefixes."""
     return F.transform(F.split(column, r"\s*\|\s*"), lambda e: F.upper(F.regexp_replace(e, r"^.*;%;", "")))
