@@ -2,9 +2,10 @@
 
 1. One pass over the texts gives each document's set of 5-word shingles (as
    64-bit hashes) in short form: its size, a 128-bit digest and MinHash bands.
-   Documents of equal digest are one node from here on, so exact copies are
-   never compared or expanded. Nodes that share a band with another get an odd
-   sketch, a parity bitmap into which MinHash samples are folded.
+   Documents of equal digest are one node from here on, which has a number, so
+   exact copies are never compared or expanded. Nodes that share a band with
+   another get an odd sketch, a parity bitmap into which MinHash samples are
+   folded.
 2. Nodes that share a band are candidates. The bands follow from the threshold:
    28 bands of 6 rows miss a pair of Jaccard similarity 0.85 with probability
    below 2e-6, and so do 34 bands of 5 rows one of 0.80.
@@ -22,12 +23,11 @@
 A large bucket is split by a hash of the member, and only its hubs are repeated
 in each part. The joins on a component's root and on a bucket's key carry rows
 of a few numbers only; a root with a large share of them is one task's work,
-unless adaptive execution splits it. Broadcasting such keys instead doubled the
-plans and with them the driver's memory. Tables of a round are deleted after it.
+unless adaptive execution splits it. Tables of a round are deleted after it.
 
 Hashes are 64 bits wide (digests 128): two different shingles of a pair of
 documents are taken for equal with probability below 1e-9, and two of N
-different sets share a node with probability N^2 / 2^65.
+different sets share a node with probability N^2 / 2^129 (of 10^10 sets: 1e-19).
 
 Defined results: null, empty and wordless texts have no shingle and are
 components of their own; texts with fewer than five words have one shingle;
@@ -45,6 +45,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import struct
 from collections.abc import Iterator
 from functools import reduce
 
@@ -133,12 +134,13 @@ def odd_sketches(sets: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(out, axis=1)
 
 
-def digest(own: np.ndarray) -> bytes:
-    return hashlib.blake2b(own.tobytes(), digest_size=16).digest()
+def digest(own: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set, as two signed numbers."""
+    return struct.unpack("<2q", hashlib.blake2b(own.tobytes(), digest_size=16).digest())
 
 
 def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """key, n_shingles, node, digest, bands; the last three null without shingles."""
+    """key, n_shingles, d1, d2 (the digest) and bands; the last three null without shingles."""
     kind = docs.schema[key].dataType.simpleString()
     shape = bands_of(percent)
 
@@ -146,28 +148,28 @@ def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text", percent
         for batch, texts in common.text_slices(batches, text):
             sets = shingle_sets(Slice.of([t.encode().lower() for t in texts]))
             full = [i for i, own in enumerate(sets) if len(own)]
-            digests: list = [None] * len(sets)
-            bands = list(digests)
+            digests: list = [(None, None)] * len(sets)
+            bands: list = [None] * len(sets)
             for i, k in zip(full, band_keys([sets[i] for i in full], *shape), strict=True):
                 digests[i], bands[i] = digest(sets[i]), k
-            node = [d and int.from_bytes(d[:8], "little", signed=True) for d in digests]
-            columns = [batch.column(key), pa.array(list(map(len, sets)), pa.int64()), pa.array(node, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=[key, "n_shingles", "node", "digest", "bands"])
+            columns = [batch.column(key), pa.array(list(map(len, sets)), pa.int64()), *(pa.array([d[half] for d in digests], pa.int64()) for half in (0, 1)), pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=[key, "n_shingles", "d1", "d2", "bands"])
 
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_shingles long, node long, digest binary, bands array<long>")
+    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_shingles long, d1 long, d2 long, bands array<long>")
 
 
 def full_sets(docs: DataFrame, text: str = "text") -> DataFrame:
-    """node, shingles, sketch: the whole set of each text that has one, and its odd sketch."""
+    """d1, d2 (the digest), shingles, sketch: the whole set of each text that has one, and its odd sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in common.text_slices(batches, text):
             sets = [s for s in shingle_sets(Slice.of([t.encode().lower() for t in texts])) if len(s)]
-            node = [int.from_bytes(digest(s)[:8], "little", signed=True) for s in sets]
+            digests = [digest(s) for s in sets]
             lists = [[s.view(np.int64) for s in sets], list(odd_sketches(sets))]
-            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), *(pa.array(x, pa.list_(pa.int64())) for x in lists)], names=["node", "shingles", "sketch"])
+            halves = [pa.array([d[half] for d in digests], pa.int64()) for half in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*halves, *(pa.array(x, pa.list_(pa.int64())) for x in lists)], names=["d1", "d2", "shingles", "sketch"])
 
-    return docs.select(text).mapInArrow(run, "node long, shingles array<long>, sketch array<long>")
+    return docs.select(text).mapInArrow(run, "d1 long, d2 long, shingles array<long>, sketch array<long>")
 
 
 def estimate(odd: Column, samples: int, bits: int) -> Column:
@@ -247,14 +249,17 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", percent
     """key, n_shingles, component_id (the smallest key reachable by links) and kept, for each row."""
     docs = docs.select(F.col(key).alias("__id"), F.col(text).alias("__text"))
     rows = common.cut(signatures(docs, "__id", "__text", percent))
-    nodes = common.cut(rows.where("n_shingles > 0").groupBy("node").agg(F.min("__id").alias("first"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")))
+    # A node's number is given once, when the table is written.
+    nodes = rows.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min("__id").alias("first"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    nodes = common.cut(nodes.withColumn("node", F.monotonically_increasing_id()))
     banded = nodes.select("node", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("__n")).where("__n > 1").select("key")
     members = first_members = common.cut(banded.join(shared, "key").select("key", "node", F.col("node").alias("comp")))
     own = members.select("node").distinct()
     firsts = nodes.join(own, "node", "left_semi").select(F.col("first").alias("__first"))
     owners = docs.join(firsts.distinct(), F.col("__id").eqNullSafe(F.col("__first")), "left_semi")
-    sets = common.cut(full_sets(owners, "__text").join(own, "node", "left_semi").dropDuplicates(["node"]))
+    named = nodes.join(own, "node", "left_semi").select("d1", "d2", "node")
+    sets = common.cut(full_sets(owners, "__text").join(named, ["d1", "d2"]).dropDuplicates(["node"]).select("node", "shingles", "sketch"))
     known = nodes.select("node", "n", "bands").join(sets.select("node", "sketch"), "node")
     edges, hubs, behind = None, 16, None
     while True:
@@ -281,17 +286,17 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", percent
         members, hubs, behind = left, min(16 * hubs, 4096), live
     for table in (first_members, sets, live):
         common.drop(table)
-    named = nodes.select("node", "first", "copies")
+    named = nodes.select("d1", "d2", "node", "first", "copies")
     if edges is not None:
         roots = stars(edges)
-        named = named.join(roots, "node", "left").select("node", "first", "copies", F.coalesce("root", "node").alias("root"))
+        named = named.join(roots, "node", "left").select("d1", "d2", "first", "copies", F.coalesce("root", "node").alias("root"))
         ends = roots.select("root").distinct()
         least = named.join(ends, "root", "left_semi").groupBy("root").agg(F.min("first").alias("least"))
-        found = named.join(least, "root", "left").where("least is not null or copies > 1").select("node", F.coalesce("least", "first").alias("component"))
+        found = named.join(least, "root", "left").where("least is not null or copies > 1").select("d1", "d2", F.coalesce("least", "first").alias("component"))
     else:
-        found = named.where("copies > 1").select("node", F.col("first").alias("component"))
+        found = named.where("copies > 1").select("d1", "d2", F.col("first").alias("component"))
     component = F.when(F.col("component").isNull(), F.col("__id")).otherwise(F.col("component"))
-    joined = rows.select("__id", "n_shingles", "node").join(found, "node", "left")
+    joined = rows.select("__id", "n_shingles", "d1", "d2").join(found, ["d1", "d2"], "left")
     return joined.select(F.col("__id").alias(key), "n_shingles", component.alias("component_id")).withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
 
 
