@@ -21,9 +21,11 @@
 5. Components come from alternating large-star and small-star steps.
 
 A large bucket is split by a hash of the member, and only its hubs are repeated
-in each part. The joins on a component's root and on a bucket's key carry rows
-of a few numbers only; a root with a large share of them is one task's work,
-unless adaptive execution splits it. Tables of a round are deleted after it.
+in each part. The joins on a component's root and on a bucket's key shuffle both
+sides for the join alone (``apart``), so that adaptive execution can split a key
+with a large share of the rows; without that, the side that was aggregated by
+the key would bind the other one to its partitions. Tables of a round are
+deleted after it.
 
 Hashes are 64 bits wide (digests 128): two different shingles of a pair of
 documents are taken for equal with probability below 1e-9, and two of N
@@ -63,6 +65,8 @@ PERCENT = 85
 MISSED, SAMPLES = 2e-6, 176
 #: Members that one part of a bucket holds.
 PART_ROWS = 1024
+#: What ``apart`` turns keys with.
+APART = 0x5DEECE66D
 #: MinHash samples and bits of the short and the long odd sketch.
 SHORT, LONG = (672, 1024), (2048, 2048)
 
@@ -192,14 +196,23 @@ def is_star(edges: DataFrame) -> bool:
     return ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("in").alias("in")).where("out > 1 or (out = 1 and in = 1)").isEmpty()
 
 
+def apart(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with its key under another expression, for a join that must not take over the partitions of an aggregate by the key.
+
+    Each side of such a join is then shuffled for it, and Spark may split the
+    partitions of a key that has a large share of the rows.
+    """
+    return df.withColumn(key, F.col(key).bitwiseXOR(F.lit(APART)))
+
+
 def star_step(edges: DataFrame) -> DataFrame:
     """Edges (a, b) after a large-star and a small-star step: the same components, closer to stars."""
     edges = edges.where("a <> b")
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+    large = apart(both.where("v > u"), "u").join(apart(least, "u"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
     below = large.groupBy("u").agg(F.min("v").alias("m"))
-    small = large.join(below, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").union(below.select("u", "m"))
+    small = apart(large, "u").join(apart(below, "u"), "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").union(below.select("u", "m"))
     return common.cut(small.distinct())
 
 
@@ -222,7 +235,8 @@ def hubs_of(members: DataFrame, hubs: int) -> DataFrame:
     buckets = members.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("node").alias("lowest")).where("low <> high")
     drawn = F.pmod(F.xxhash64("node", "key", F.lit(hubs)), F.greatest(F.lit(1), F.ceil(F.col("n") / hubs))) == 0
     hub = (F.col("node") == F.col("lowest")) | drawn
-    return members.join(buckets.select("key", "n", "lowest"), "key").select("key", F.ceil(F.col("n") / PART_ROWS).alias("parts"), "node", "comp", hub.alias("hub"))
+    met = apart(members, "key").join(apart(buckets.select("key", "n", "lowest"), "key"), "key")
+    return apart(met, "key").select("key", F.ceil(F.col("n") / PART_ROWS).alias("parts"), "node", "comp", hub.alias("hub"))
 
 
 def candidates(live: DataFrame, percent: int = PERCENT) -> DataFrame:
