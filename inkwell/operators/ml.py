@@ -1,21 +1,19 @@
-"""Splits, search, selection and prediction of topic and priority classifiers."""
+"""Splits, scores, predictions and outliers of topic and priority classifiers."""
 
 from __future__ import annotations
 
-import random
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
 from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkwell.operators import neighbours, robust
 from inkwell.sources.storage import stored
 
 SEED = 42
@@ -89,95 +87,11 @@ def features(df: DataFrame, columns: list[str], out: str = "features") -> DataFr
     return VectorAssembler(inputCols=columns, outputCol=out).transform(ready)
 
 
-@dataclass(frozen=True)
-class Family:
-    """A kind of classifier and the values that its search draws from."""
-
-    make: Callable[..., Estimator]
-    space: dict[str, list] = field(default_factory=dict)
-    wide: bool = True  # fit for wide sparse features
-
-
-FAMILIES: dict[str, Family] = {
-    "logistic": Family(LogisticRegression, {"regParam": [0.0, 0.001, 0.01, 0.1, 1.0], "elasticNetParam": [0.0, 0.5, 1.0]}),
-    "sgd": Family(lambda **k: LogisticRegression(maxIter=25, **k), {"regParam": [1e-4, 1e-3, 1e-2]}),
-    "linear_svc": Family(LinearSVC, {"regParam": [0.001, 0.01, 0.1, 1.0]}),
-    "random_forest": Family(RandomForestClassifier, {"numTrees": [50, 100, 200], "maxDepth": [5, 10]}),
-    "extra_trees": Family(lambda **k: RandomForestClassifier(bootstrap=False, featureSubsetStrategy="sqrt", **k), {"numTrees": [50, 100], "maxDepth": [5, 10]}),
-    "gradient_boosting": Family(GBTClassifier, {"maxIter": [20, 50], "maxDepth": [3, 5], "stepSize": [0.05, 0.1]}),
-    "histogram_boosting": Family(lambda **k: GBTClassifier(maxBins=64, **k), {"maxIter": [20, 50], "maxDepth": [4, 6]}),
-    "leafwise_boosting": Family(lambda **k: GBTClassifier(subsamplingRate=0.8, **k), {"maxIter": [20, 50], "maxDepth": [4, 6]}),
-    "decision_tree": Family(DecisionTreeClassifier, {"maxDepth": [3, 5, 10], "minInstancesPerNode": [1, 5]}),
-    "naive_bayes": Family(lambda **k: NaiveBayes(modelType="gaussian", **k), {}),
-    "perceptron": Family(MultilayerPerceptronClassifier, {"maxIter": [50, 100]}, wide=False),
-}
-
-
-def drawn_settings(space: dict[str, list], n: int, seed: int = SEED) -> list[dict]:
-    """Up to n distinct settings, drawn at random without repeats."""
-    rng = random.Random(seed)
-    every = [{}]
-    for name, values in sorted(space.items()):
-        every = [{**e, name: v} for e in every for v in values]
-    rng.shuffle(every)
-    return every[:n]
-
-
-def cross_validated(make: Callable[[], Estimator], data: DataFrame, label: str = "label", k: int = FOLDS) -> tuple[float, float]:
-    """Mean and deviation of F1 (of class 1, or macro for more classes) over the folds."""
-    scores = []
-    for f in range(k):
-        model = make().fit(data.where(F.col("fold") != f))
-        scores.append(f1(model.transform(data.where(F.col("fold") == f)), label))
-    return float(np.mean(scores)), float(np.std(scores))
-
-
 def f1(predicted: DataFrame, label: str = "label") -> float:
     rows = {r["class"]: r["f1"] for r in confusion(predicted, label, "prediction").collect()}  # a row for each class
     return float(rows.get(1, rows.get(1.0, 0.0)) if len(rows) <= 2 else np.mean(list(rows.values())))
 
 
-@dataclass
-class Selected:
-    model: Transformer
-    family: str
-    settings: dict
-    score: float
-    cv: tuple[float, float]
-    test: float
-
-
-def select_model(data: DataFrame, key: str, families: list[str], *, label: str = "label", n: int = 3, k: int = FOLDS, seed: int = SEED, width: int = 0, wide: int = 1 << 14) -> Selected:
-    """Search each family by cross-validation, choose by penalised score, refit on all rows.
-
-    The number of models is small; all rows stay distributed. Families that
-    can't take wide features are passed over for ``width`` above ``wide``.
-    """
-    split = stratified_split(data, label, key, seed=seed).cache()
-    training, held = folds(split.where("not held_out"), label, key, k, seed).cache(), split.where("held_out")
-    best: Selected | None = None
-    for name in families:
-        family = FAMILIES[name]
-        if width > wide and not family.wide:
-            continue
-        for settings in drawn_settings(family.space, n, seed):
-            make = lambda family=family, settings=settings: family.make(featuresCol="features", labelCol=label, **settings)
-            cv = cross_validated(make, training, label, k)
-            test = f1(make().fit(training).transform(held), label)
-            score = 0.7 * test + 0.3 * cv[0] - 2 * max(0.0, cv[0] - test - 0.05)
-            if best is None or score > best.score:
-                best = Selected(make(), name, settings, score, cv, test)
-    if best is None or best.score <= 0:
-        raise ValueError("no family of classifiers reached a positive score")
-    best.model = best.model.fit(split)
-    return best
-
-
-def scaled(estimator: Estimator) -> Pipeline:
-    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True)
-    return Pipeline(stages=[scaler, estimator.copy({estimator.featuresCol: "scaled"})])
-
-
 def predict(model: Transformer | PipelineModel, data: DataFrame) -> DataFrame:
     """``data`` with score = P(class 1) (or the sigmoid of the margin) and label = score >= 0.5."""
     out = model.transform(data)
@@ -197,105 +111,38 @@ def predict_class(model: Transformer, data: DataFrame) -> DataFrame:
 def without_outliers(data: DataFrame, method: str | None, contamination: float = 0.1, vector: str = "features") -> DataFrame:
     """``data`` without the ``contamination`` share of rows that lie farthest out; unknown methods change nothing.
 
-    ``elliptic``: Mahalanobis distance, by the covariance of all rows.
+    ``elliptic``: Mahalanobis distance by the minimum covariance determinant.
     ``forest``: path lengths in random isolation trees, grown on a bounded
-    sample and applied in Arrow batches. ``lof``: local outlier factors among
-    all rows. The reference's names of the first two are accepted.
+    sample and applied in Arrow batches. ``lof``: exact local outlier factors
+    among all rows. The reference's names of the first two are accepted.
     """
     method = {"elliptic_envelope": "elliptic", "isolation_forest": "forest"}.get(method, method)
     if method == "lof":
         data = stored(data.withColumn("__id", F.monotonically_increasing_id()))
-        far = local_outlier_factors(data.select("__id", vector_to_array(vector).alias("v")))
+        far = neighbours.local_outlier_factors(data.select("__id", vector_to_array(vector).alias("v")))
         scored = data.join(far.withColumnRenamed("lof", "__far"), "__id").drop("__id")
-        cut = scored.agg(F.percentile_approx("__far", 1 - contamination, 10000)).first()[0]
-        return scored.where(F.col("__far") <= F.lit(cut)).drop("__far")
-    if method == "elliptic":
-        mean, inverse = center_and_precision(data.select(vector_to_array(vector).alias("v")))
-
-        @F.pandas_udf("double")
-        def mahalanobis(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            for batch in batches:
-                d = np.stack([np.asarray(v) for v in batch]) - mean if len(batch) else np.zeros((0, len(mean)))
-                yield pd.Series(np.einsum("ij,jk,ik->i", d, inverse, d))
-
-        far = mahalanobis(vector_to_array(vector))
+    elif method == "elliptic":
+        scatter = robust.minimum_covariance_determinant(data.select(vector_to_array(vector).alias("v")))
+        if scatter is None:
+            return data
+        scored = data.withColumn("__far", robust.squared_distance(scatter, vector_to_array(vector)))
     elif method == "forest":
         sample = np.array([r[0].toArray() for r in data.select(vector).orderBy(F.xxhash64(vector_to_array(vector))).limit(256).collect()])
-        trees = [isolation_tree(sample, np.random.default_rng(SEED + t)) for t in range(50)]
+        trees = [isolation_tree(sample, np.random.default_rng(SEED + t)) for t in range(50)] if len(sample) else []
 
         @F.pandas_udf("double")
         def depth(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for batch in batches:
-                yield -pd.Series([np.mean([path_length(t, np.asarray(v)) for t in trees]) for v in batch])
+                yield -pd.Series([np.mean([path_length(t, np.asarray(v)) for t in trees]) for v in batch], dtype=float)
 
-        far = depth(vector_to_array(vector))
+        scored = data.withColumn("__far", depth(vector_to_array(vector)))
     else:
         return data
-    scored = data.withColumn("__far", far)
+    scored = stored(scored, "distances")
     cut = scored.agg(F.percentile_approx("__far", 1 - contamination, 10000)).first()[0]
     return scored.where(F.col("__far") <= F.lit(cut)).drop("__far")
 
 
-def center_and_precision(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and (pseudo-)inverse covariance of the arrays ``v``, from sums made in each partition."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = None
-        for batch in batches:
-            if len(batch):
-                x = np.column_stack([np.ones(len(batch)), np.stack([np.asarray(v) for v in batch["v"]])])
-                sums = x.T @ x if sums is None else sums + x.T @ x
-        if sums is not None:
-            yield pd.DataFrame({"s": [sums.ravel()]})
-
-    total = sum(np.asarray(r[0]) for r in rows.mapInPandas(run, "s array<double>").toLocalIterator())
-    size = int(np.sqrt(np.size(total)))
-    total = np.reshape(total, (size, size))
-    mean = total[0, 1:] / total[0, 0]
-    return mean, np.linalg.pinv(total[1:, 1:] / total[0, 0] - np.outer(mean, mean), hermitian=True)
-
-
-def neighbours(rows: DataFrame, k: int, block: int = 1024) -> DataFrame:
-    """__id, near: the k nearest other rows as (d, i), exactly; blocks of rows meet in pairs."""
-    each = F.array_sort(F.collect_list(F.struct("__id", "v")))
-    grouped = rows.groupBy(F.shiftright("__id", 33).alias("p"), F.floor(F.col("__id").bitwiseAND((1 << 33) - 1) / block).alias("b")).agg(each.alias("s"))
-    blocks = grouped.select(F.transform("s", lambda s: s["__id"]).alias("i"), F.flatten(F.transform("s", lambda s: s["v"])).alias("x"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for i, x, j, y in zip(*(batch[c] for c in "ixjy"), strict=True):
-                x, y = (np.reshape(v, (len(n), -1)) for v, n in ((x, i), (y, j)))
-                j = np.asarray(j)
-                rough = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1) - 2 * x @ y.T
-                rough[np.asarray(i)[:, None] == j] = np.inf
-                at = np.argpartition(rough, min(2 * k, len(j)) - 1, axis=1)[:, : 2 * k]
-                # Products lose the distances of close rows; differences of the rows chosen keep them.
-                d = np.sqrt(((x[:, None, :] - y[at]) ** 2).sum(axis=2))
-                d[j[at] == np.asarray(i)[:, None]] = np.inf
-                order = np.lexsort((j[at], d), axis=1)[:, :k]
-                d, ids = np.take_along_axis(d, order, axis=1), j[np.take_along_axis(at, order, axis=1)]
-                near = [[{"d": float(a), "i": int(b)} for a, b in zip(*p, strict=True) if np.isfinite(a)] for p in zip(d, ids, strict=True)]
-                yield pd.DataFrame({"__id": i, "near": near})
-
-    # The pairs of blocks are never shuffled, only the blocks and what is found.
-    own = stored(blocks)
-    left = own.repartition(rows.sparkSession.sparkContext.defaultParallelism * 2)
-    met = left.crossJoin(own.select(F.col("i").alias("j"), F.col("x").alias("y")).coalesce(2))
-    found = met.mapInPandas(run, "__id long, near array<struct<d: double, i: long>>")
-    return found.groupBy("__id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
-
-
-def local_outlier_factors(rows: DataFrame, k: int = 20) -> DataFrame:
-    """__id, lof: the density of a row's neighbours over its own, of rows (__id, v)."""
-    near = stored(neighbours(rows, k))
-    reach = near.select(F.col("__id").alias("i"), F.element_at("near", -1)["d"].alias("reach"))
-    pairs = near.select("__id", F.inline("near"))
-    dense = pairs.join(reach, "i").groupBy("__id").agg((1 / (F.avg(F.greatest("d", "reach")) + 1e-10)).alias("density"))
-    others = dense.select(F.col("__id").alias("i"), F.col("density").alias("other"))
-    own = pairs.join(others, "i").groupBy("__id").agg(F.avg("other").alias("other"))
-    return own.join(dense, "__id").select("__id", (F.col("other") / F.col("density")).alias("lof"))
-
-
 def isolation_tree(rows: np.ndarray, rng: np.random.Generator, depth: int = 0, most: int = 8):
     """(dimension, threshold, low, high), or the size of a leaf."""
     if depth >= most or len(rows) < 2:

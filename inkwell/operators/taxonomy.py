@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkwell.operators.picks import first_wins
+from inkwell.sources.storage import stored
 
 
 def merged_edges(*sets: DataFrame) -> DataFrame:
@@ -64,25 +65,44 @@ def reverse_index(edges: DataFrame) -> DataFrame:
     return edges.groupBy("child").agg(F.array_sort(F.collect_set("parent")).alias("parents"))
 
 
-def ancestors(edges: DataFrame, depth: int = 40) -> DataFrame:
-    """node, ancestor, depth (the shortest), by a recursive query that a depth bound guards against cycles."""
-    spark = edges.sparkSession
-    view = "__edges"
-    edges.select("child", "parent").distinct().createOrReplaceTempView(view)
-    walked = spark.sql(f"""
-        WITH RECURSIVE up(node, ancestor, depth) AS (
-            SELECT child, parent, 1 FROM {view}
-            UNION ALL
-            SELECT up.node, e.parent, up.depth + 1 FROM up JOIN {view} e ON up.ancestor = e.child WHERE up.depth < {depth}
-        ) SELECT node, ancestor, depth FROM up""")
-    return walked.groupBy("node", "ancestor").agg(F.min("depth").alias("depth"))
+def ancestors(edges: DataFrame) -> DataFrame:
+    """node, ancestor, depth (the shortest) of all ancestors, however far; a node on a cycle is its own ancestor.
 
-
-def most_specific(found: DataFrame, closure: DataFrame, key: str, node: str = "node") -> DataFrame:
-    """Of each text's nodes, those that are no ancestor of another of its nodes."""
-    above = found.select(key, F.col(node).alias("__n")).join(closure, F.col("__n") == closure["node"]).where(F.col("ancestor") != F.col("__n"))
-    drop = above.select(key, F.col("ancestor").alias(node)).distinct()
-    return found.join(drop, [key, node], "left_anti")
+    Round k joins the ancestors nearer than 2^k with the pairs that exactly
+    2^k edges connect, so a pair is made once on each shortest way, and a
+    lineage of depth d takes log2(d) rounds. Each round is deduplicated and
+    written to the shared folder. Where a round finds no new pair there are no
+    others, which also ends cycles: were there a farther one, the nodes on the
+    way to it would have been new. Null ends are no edges.
+    """
+    kept = edges.select(F.col("child").alias("node"), F.col("parent").alias("ancestor")).where("node is not null and ancestor is not null").distinct()
+    power = found = stored(kept, "closure")
+    found, pairs, step = stored(found.withColumn("depth", F.lit(1)), "closure"), found.count(), 1
+    while True:
+        ends = power.select(F.col("node").alias("__middle"), F.col("ancestor").alias("__end"))
+        power = stored(power.join(ends, F.col("ancestor") == F.col("__middle")).select("node", F.col("__end").alias("ancestor")).distinct(), "closure")
+        step *= 2
+        ends = power.select(F.col("node").alias("__middle"), F.col("ancestor").alias("__end"))
+        farther = found.join(ends, F.col("ancestor") == F.col("__middle")).select("node", F.col("__end").alias("ancestor"), (F.col("depth") + step).alias("depth"))
+        own = power.select("node", "ancestor", F.lit(step).alias("depth"))
+        found = stored(found.union(farther).union(own).groupBy("node", "ancestor").agg(F.min("depth").alias("depth")), "closure")
+        pairs, before = found.count(), pairs
+        if pairs == before:
+            return found
+
+
+def most_specific(found: DataFrame, closure: DataFrame, key: str, node: str = "node", order: str | None = None) -> DataFrame:
+    """Of each text's nodes, those that are no ancestor of another of its nodes, once each.
+
+    With ``order``, a node has the least of its places, by which the rows of a
+    text can be sorted as they were first seen. A node on a cycle is its own
+    ancestor and goes.
+    """
+    others = [c for c in found.columns if c not in (key, node)]
+    once = first_wins(found, [key, node], [order]) if order else found.dropDuplicates([key, node])
+    above = once.select(F.col(key).alias("__k"), F.col(node).alias("__n")).join(closure.select(F.col("node").alias("__of"), F.col("ancestor").alias("__above")), F.col("__n") == F.col("__of"))
+    drop = above.select(F.col("__k").alias(key), F.col("__above").alias(node)).distinct()
+    return once.join(drop, [key, node], "left_anti").select(key, node, *others)
 
 
 def nearest_curated(nodes: DataFrame, lineage: DataFrame, curated: DataFrame) -> DataFrame:
@@ -90,10 +110,3 @@ def nearest_curated(nodes: DataFrame, lineage: DataFrame, curated: DataFrame) ->
     known = lineage.join(curated.select(F.col("curie").alias("ancestor")), "ancestor", "left_semi").join(nodes.select("node"), "node", "left_semi")
     rank = F.row_number().over(Window.partitionBy("node").orderBy("source", "depth", "ancestor"))
     return known.withColumn("__r", rank).where("__r = 1").select("node", "ancestor")
-
-
-def nearest_first(parents: Column, immediate: Column) -> Column:
-    """A lineage turned so that the immediate parent comes first: rotated there, or reversed if the root is first."""
-    at = F.array_position(parents, immediate)
-    tail, head = F.slice(parents, at.cast("int"), F.size(parents)), F.slice(parents, F.lit(1), (at - 1).cast("int"))
-    return F.when(at == 1, parents).when(at == F.size(parents), F.reverse(parents)).when(at > 0, F.concat(tail, head)).otherwise(F.reverse(parents))

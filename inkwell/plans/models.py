@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkwell.operators import evaluate, ml, vectors
+from inkwell.operators import evaluate, kernels, ml, neighbours, search, vectors
 from inkwell.plans.catalog import query
 from inkwell.sources.tables import table
 
@@ -157,25 +160,53 @@ def vector_data(spark: SparkSession, sf: str) -> DataFrame:
     return ml.features(rows, ["embedding"])
 
 
-@query("H01 H12 H10 C06")
+@query("H01 H12 C06")
 def classify_with_logreg(spark: SparkSession, sf: str) -> DataFrame:
     data = ml.stratified_split(vector_data(spark, sf), "label", "vec_id")
-    model = ml.FAMILIES["logistic"].make(regParam=0.01).fit(data.where("not held_out"))
+    model = LogisticRegression(regParam=0.01).fit(data.where("not held_out"))
     return ml.predict(model, data.where("held_out")).select("vec_id", "label", "predicted", F.round("score", 6).alias("score"))
 
 
-@query("H13")
+@query("H07 H12", """
+WITH e AS (SELECT vec_id, CAST(label < 5 AS INT) AS label, embedding::DOUBLE[] AS v FROM embeddings),
+n AS (SELECT a.vec_id, a.label, b.label AS other, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.v, b.v), b.vec_id) AS r FROM e a JOIN e b ON a.vec_id <> b.vec_id)
+SELECT vec_id, label, CAST(avg(other) >= 0.5 AS INT) AS predicted, round(avg(other), 6) AS score FROM n WHERE r <= 9 GROUP BY 1, 2""")
+def classify_by_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row by the votes of the nine others nearest to it."""
+    rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("__id"), F.col("embedding").cast("array<double>").alias("v"), F.when(F.col("label") < 5, 1).otherwise(0).cast("long").alias("y"))
+    index = neighbours.CellIndex.build(rows)
+    near = index.nearest(rows, 9, others=True)
+    score = neighbours.votes(F.col("near"), 2)[1]
+    voted = near.select(F.col("__id").alias("vec_id"), score.alias("score"))
+    return rows.select(F.col("__id").alias("vec_id"), F.col("y").cast("int").alias("label")).join(voted, "vec_id").select("vec_id", "label", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.round("score", 6).alias("score"))
+
+
+@query("H07 H12")
+def classify_with_kernel(spark: SparkSession, sf: str) -> DataFrame:
+    """Support vectors with a radial kernel: a linear classifier on the kernel's features, fitted on a bounded sample, for every row."""
+    data = vector_data(spark, sf)
+    training = search.sampled(data, "vec_id", search.MOST_ROWS)
+    model = Pipeline(stages=[kernels.RadialFeatures(), LinearSVC(featuresCol="kernel", regParam=0.001, standardization=False)]).fit(training)
+    return ml.predict(model, data).select("vec_id", "label", "predicted", F.round("score", 6).alias("score"))
+
+
+@query("H11 H13 H04")
 def classify_priorities(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "embeddings").select("vec_id", "embedding", (F.col("label") % 3).alias("label"))
-    data = ml.stratified_split(ml.features(rows, ["embedding"]), "label", "vec_id")
-    model = ml.scaled(ml.FAMILIES["logistic"].make(regParam=0.1, featuresCol="features")).fit(data.where("not held_out"))
-    return ml.predict_class(model, data.where("held_out")).select("vec_id", "label", "predicted", F.round("score", 6).alias("score"))
+    data = ml.features(rows, ["embedding"])
+    found = search.priority_search(data, "vec_id")
+    return ml.predict_class(found.model, data).select("vec_id", "label", "predicted", F.round("score", 6).alias("score"))
+
+
+#: Families whose searches share their passes or fits quickly; the trees of the others take a job for each level and tree.
+SEARCHED = ["LogisticRegression", "LinearSVC", "SVC", "DecisionTreeClassifier", "KNeighborsClassifier", "SGDClassifier"]
 
 
-@query("H10 E15")
+@query("H05 H06 H08 H09 H10 F05")
 def model_selection(spark: SparkSession, sf: str) -> DataFrame:
-    chosen = ml.select_model(vector_data(spark, sf).coalesce(2), "vec_id", ["logistic", "naive_bayes"], n=1, k=2)
-    return spark.createDataFrame([(chosen.family, chosen.score, chosen.cv[0], chosen.cv[1], chosen.test)], "family string, score double, cv_mean double, cv_std double, test double")
+    scores = search.random_search(vector_data(spark, sf), "vec_id", SEARCHED)
+    rows = [(s.family, str(s.settings), s.cv, float(np.std(s.folds)), s.test, s.cv - s.test, s.penalised, rank) for rank, s in enumerate(scores, 1)]
+    return spark.createDataFrame(rows, "family string, settings string, cv_mean double, cv_std double, test double, gap double, score double, rank int")
 
 
 @query("H03")

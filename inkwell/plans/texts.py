@@ -268,6 +268,23 @@ def prune_to_most_specific(spark: SparkSession, sf: str) -> DataFrame:
     return taxonomy.most_specific(detected(spark, sf), taxonomy.ancestors(geography(spark, sf)), "o_custkey")
 
 
+# A part's parents are its numbers over three and over five: lineages meet again above, and grow with the table.
+LINEAGES = """SELECT DISTINCT CAST(p_partkey // d AS BIGINT) AS parent, CAST(p_partkey AS BIGINT) AS child FROM part, (VALUES (3), (5)) t(d) WHERE p_partkey > 0"""
+
+
+def part_lineages(spark: SparkSession, sf: str) -> DataFrame:
+    parts = table(spark, sf, "part").where("p_partkey > 0")
+    above = F.explode(F.array(*[F.expr(f"p_partkey div {d}") for d in (3, 5)]))
+    return taxonomy.merged_edges(parts.select(above.alias("parent"), F.col("p_partkey").cast("long").alias("child")))
+
+
+@query("F16 F20 E24", f"""
+WITH RECURSIVE e AS ({LINEAGES}), up(node, ancestor, depth) AS (SELECT child, parent, 1 FROM e UNION SELECT up.node, e.parent, up.depth + 1 FROM up JOIN e ON up.ancestor = e.child)
+SELECT node, ancestor, min(depth) AS depth FROM up GROUP BY 1, 2""")
+def shortest_lineages(spark: SparkSession, sf: str) -> DataFrame:
+    return taxonomy.ancestors(part_lineages(spark, sf))
+
+
 @query("F17 F18 F19", f"""
 WITH RECURSIVE e AS ({EDGES}), up(node, ancestor, depth) AS (SELECT child, parent, 1 FROM e UNION ALL SELECT up.node, e.parent, up.depth + 1 FROM up JOIN e ON up.ancestor = e.child)
 SELECT node, ancestor FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY depth, ancestor) AS rn FROM up WHERE ancestor IN ('W', 'R1', 'R2') AND node LIKE 'N%') WHERE rn = 1""")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from inkwell.operators import ml, references, taxonomy
@@ -53,7 +54,7 @@ def test_labelled_references(spark):
 
 def test_a_stored_model_scores_as_before(spark):
     data = ml.stratified_split(models.vector_data(spark, SF), "label", "vec_id")
-    fitted = ml.FAMILIES["logistic"].make(regParam=0.01).fit(data.where("not held_out"))
+    fitted = LogisticRegression(regParam=0.01).fit(data.where("not held_out"))
     before = {r.vec_id: round(r.score, 6) for r in ml.predict(fitted, data.where("held_out")).collect()}
     rows = library.stored_model_scores(spark, SF).collect()
     assert {r.vec_id: r.score for r in rows} == pytest.approx(before) and {r.topic for r in rows} == {"halves"}

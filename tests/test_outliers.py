@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from inkwell.operators import ml
+from inkwell.operators import ml, robust
 
 
 @pytest.fixture(scope="module")
@@ -23,21 +23,37 @@ def data(spark, points):
     return ml.features(df.repartition(3), ["v"])
 
 
-def test_local_outlier_factors_equal_plain_ones(spark, points):
-    rows = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "__id long, v array<double>")
-    found = {r["__id"]: r["lof"] for r in ml.local_outlier_factors(rows).collect()}
-    k, d = 20, np.linalg.norm(points[:, None] - points, axis=2)
-    np.fill_diagonal(d, np.inf)
-    near = np.argsort(d, axis=1)[:, :k]
-    own = np.take_along_axis(d, near, axis=1)
-    density = 1 / (np.maximum(own, own[near, -1]).mean(axis=1) + 1e-10)
-    assert found == pytest.approx(dict(enumerate(density[near].mean(axis=1) / density)))
+def test_planted_outliers_do_not_hide_themselves(spark):
+    """A tight group far out draws the plain covariance towards itself, but not the robust one."""
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.multivariate_normal([0, 0, 0], np.diag([1.0, 4.0, 0.25]), 1200), rng.normal(size=(300, 3)) * 0.1 + [6, 12, 3]])
+    rows = spark.createDataFrame([(p.tolist(),) for p in rng.permutation(x)], "v array<double>").repartition(5)
+    found = robust.minimum_covariance_determinant(rows)
+    assert found.center == pytest.approx([0, 0, 0], abs=0.2) and np.diag(found.covariance) == pytest.approx([1, 4, 0.25], rel=0.25)
+    plain = robust.Scatter.of_rows(x)
+    assert plain.distances(x[1200:]).max() < np.quantile(plain.distances(x[:1200]), 0.99) and found.distances(x[1200:]).min() > 5 * np.quantile(found.distances(x[:1200]), 0.99)
+    data = ml.features(spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(x)], "row int, v array<double>").repartition(4), ["v"])
+    assert max(r.row for r in ml.without_outliers(data, "elliptic", 0.2).select("row").collect()) < 1200
 
 
-def test_blocks_change_no_neighbours(spark, points):
-    rows = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "__id long, v array<double>")
-    one, many = ({r["__id"]: [n["i"] for n in r["near"]] for r in ml.neighbours(rows, 5, block).collect()} for block in (1024, 7))
-    assert one == many
+def test_concentration_over_all_rows_never_widens(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 2)) * [1, 3]
+    rows = spark.createDataFrame([(p.tolist(),) for p in x], "v array<double>").repartition(3)
+    start = robust.Scatter.of_rows(x[:5])
+    reach = float(np.sort(start.distances(x))[200])
+    found = robust.Scatter.of_moments(robust.moments_within(rows, "v", start, reach))
+    own = robust.Scatter.of_rows(x[start.distances(x) <= reach])
+    assert found.center == pytest.approx(own.center) and found.covariance == pytest.approx(own.covariance)
+
+
+def test_odd_tables(spark):
+    assert robust.minimum_covariance_determinant(spark.createDataFrame([], "v array<double>")) is None
+    same = spark.createDataFrame([([1.0, 2.0],)] * 5, "v array<double>")
+    assert robust.minimum_covariance_determinant(same).center == pytest.approx([1, 2])
+    for method in ("elliptic", "forest", "lof"):
+        data = ml.features(spark.createDataFrame([(1, [1.0, 2.0])], "row int, v array<double>"), ["v"])
+        assert ml.without_outliers(data.limit(0), method).count() == 0 and ml.without_outliers(data, method).count() in (0, 1)
 
 
 @pytest.mark.parametrize("method", ["lof", "elliptic", "elliptic_envelope"])
