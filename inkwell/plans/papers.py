@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from inkwell.functions import alleles, levels, text
 from inkwell.plans.catalog import query
-from inkwell.sources import papers, sinks
+from inkwell.sources import papers, sinks, tei
 from inkwell.sources.storage import shared_folder
 from inkwell.sources.tables import table
 from inkwell.streaming import jobs as streams
@@ -45,10 +45,39 @@ def supplement_order(spark: SparkSession, sf: str) -> DataFrame:
     return papers.supplements(names).select("name", "ord")
 
 
-@query("A18 G07 G08", "SELECT 'T one' AS title, 'Abs.' AS abstract, 'H. Text here. cell.' AS fulltext")
+TEI = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(n_chars, 0) AS n_chars, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+o AS (SELECT doc_id, lang || ' ' || source AS title, doc_id || ' of ' || n_chars AS abstract, [doc_id::VARCHAR, 'of ' || n_chars]
+ || list_transform(list_filter(range(len(l)), lambda i: i % 4 IN (0, 3)), lambda i: CASE WHEN i % 4 = 3 THEN 'see x' || i || ' ' ELSE '' END || l[i + 1])
+ || list_transform(list_filter(range(len(l)), lambda i: i % 4 = 3), lambda i: 'x' || i)
+ || list_transform(list_filter(range(len(l)), lambda i: i % 4 = 1), lambda i: l[i + 1] || ' and more')
+ || list_transform(list_filter(range(len(l)), lambda i: i % 4 = 2), lambda i: l[i + 1]) || ['Section'] AS parts FROM d),
+t AS (SELECT doc_id, title, abstract, array_to_string(list_transform(list_filter(list_transform(parts, lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> ''), lambda x: CASE WHEN ends_with(x, '.') THEN x ELSE x || '.' END), ' ') AS fulltext FROM o)
+SELECT doc_id, trim(regexp_replace(regexp_replace(title, '[<>\[\]]+', ' ', 'g'), '\s+', ' ', 'g')) AS title, abstract, trim(regexp_replace(regexp_replace(fulltext, '[<>\[\]]+', ' ', 'g'), '\s+', ' ', 'g')) AS fulltext FROM t"""
+
+
+def tei_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """doc_id, xml: every document as TEI, its lines in turn as paragraphs, items, notes and paragraphs with formulas."""
+    escaped = lambda c: F.replace(F.replace(F.replace(F.coalesce(c.cast("string"), F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    docs = table(spark, sf, "documents")
+    n = lambda i: i.cast("string")
+
+    def element(line, i):
+        paragraph = F.concat(F.lit("<p xml:id='a/"), n(i), F.lit("'>"), line, F.lit("</p>"))
+        item = F.concat(F.lit("<list><item><p>"), line, F.lit("</p> and more</item></list>"))
+        note = F.concat(F.lit("<note place='foot'><p>"), line, F.lit("</p></note>"))
+        formula = F.concat(F.lit("<p>see <formula notation='a/b'>x"), n(i), F.lit("</formula> "), line, F.lit("</p>"))
+        return F.when(i % 4 == 0, paragraph).when(i % 4 == 1, item).when(i % 4 == 2, note).otherwise(formula)
+
+    body = F.array_join(F.transform(F.split(escaped(F.col("text")), "\n"), element), "")
+    head = F.concat(F.lit("<TEI><teiHeader><fileDesc><titleStmt><title level='a'>"), escaped(F.col("lang")), F.lit(" <hi rend='i'>"), escaped(F.col("source")), F.lit("</hi></title></titleStmt></fileDesc>"))
+    own = F.concat(F.lit("<abstract><p>"), escaped(F.col("doc_id")), F.lit("</p><p>of <b>"), F.coalesce("n_chars", F.lit(0)).cast("string"), F.lit("</b></p></abstract></teiHeader>"))
+    return docs.select("doc_id", F.concat(head, own, F.lit("<text><body><div><head>Section</head>"), body, F.lit("</div></body></text></TEI>")).alias("xml"))
+
+
+@query("A18 G07 G08", TEI)
 def tei_reader(spark: SparkSession, sf: str) -> DataFrame:
-    xml = "<TEI><title level='a'>T <hi>one</hi></title><abstract><p>Abs.</p></abstract><text><body><head>H</head><p>Text <ref>here</ref></p><table><cell>cell</cell></table></body></text></TEI>"
-    return papers.tei(spark.createDataFrame([(xml,)], "text string")).select("title", "abstract", "fulltext")
+    return tei.tei(tei_documents(spark, sf), "xml").select("doc_id", "title", "abstract", "fulltext")
 
 
 @query("D11 C11", """

@@ -159,8 +159,7 @@ def gated(spark: SparkSession, sf: str, names: DataFrame) -> DataFrame:
 def dictionary_longest_match(spark: SparkSession, sf: str) -> DataFrame:
     # Of every item its whole text and, as a short name, its first words.
     forms = F.explode(F.array("text", F.regexp_extract("text", r"^(\S+ \S+ \S+)", 1)))
-    names = [r[0] for r in table(spark, sf, "benchmark").select(forms).distinct().collect()]
-    return dictionary.longest_matches(table(spark, sf, "documents"), [n for n in names if n])
+    return dictionary.longest_matches(table(spark, sf, "documents"), table(spark, sf, "benchmark").select(forms.alias("name")))
 
 
 @query("D01 D02 D03 G22", """

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkwell.operators import intervals
 from inkwell.operators.picks import first_wins
 
 
@@ -58,31 +59,10 @@ def fulltext(sections: DataFrame, key: str = "name", *, references: bool = False
     return kept.groupBy(key).agg(F.array_join(F.transform(part, lambda s: s["text"]), " ").alias("fulltext"))
 
 
-TEI_PARTS = ("head", "p", "figDesc", "cell", "formula", "item", "note")
-
-
-def tei(papers: DataFrame, xml: str = "text") -> DataFrame:
-    """``papers`` with title, abstract and fulltext of TEI documents."""
-    first = lambda p: F.regexp_extract(xml, f"(?s){p}", 1)
-    body = first(r"<text\b[^>]*>(.*)</text>")
-    names = "|".join(TEI_PARTS)
-    parts = F.regexp_extract_all(body, F.lit(rf"(?s)<(?:{names})\b[^>/]*>(.*?)</(?:{names})>"), F.lit(1))
-    clean = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, r"<[^<]+>", " "), r"\s+", " "))
-    closed = F.transform(parts, lambda p: F.when(clean(p).endswith("."), clean(p)).otherwise(F.concat(clean(p), F.lit("."))))
-    text = F.array_join(F.filter(closed, lambda p: p != "."), " ")
-    return papers.withColumns({"title": clean(first(r"<title\b[^>]*>(.*?)</title>")), "abstract": clean(first(r"<abstract\b[^>]*>(.*?)</abstract>")), "fulltext": text})
-
-
 def page_only(tokens: DataFrame, spans: DataFrame, key: str) -> DataFrame:
-    """key, token of those whose every position lies within a span.
-
-    Positions meet spans of their own document by an equi join; each is tested
-    by its interval, and ``bool_and`` decides.
-    """
-    met = tokens.join(spans, key, "left")
-    inside = F.coalesce((F.col("pos") >= F.col("start")) & (F.col("pos") < F.col("end")), F.lit(False))
-    by = met.groupBy(key, "token", "pos").agg(F.bool_or(inside).alias("inside"))
-    return by.groupBy(key, "token").agg(F.bool_and("inside").alias("all_inside")).where("all_inside").select(key, "token")
+    """key, token of those whose every position lies within a span of their document."""
+    swept = intervals.covered(tokens.select(key, "token", "pos"), spans, key)
+    return swept.groupBy(key, "token").agg(F.bool_and("inside").alias("all_inside")).where("all_inside").select(key, "token")
 
 
 def bib(lines: DataFrame, line: str = "value") -> DataFrame:

@@ -65,7 +65,7 @@ def test_rules_and_dates(spark):
 
 
 def test_longest_match_is_leftmost_and_bounded():
-    from inkwell.operators.dictionary import Trie
+    from inkwell.operators.dictionary import NameIndex
 
-    found = list(Trie(["unc", "unc-119", "ed3", "(x)"]).find("unc-119(ed3) uncle unc (x)"))
+    found = list(NameIndex.of(["unc", "unc-119", "ed3", "(x)"]).find("unc-119(ed3) uncle unc (x)"))
     assert [m[0] for m in found] == ["unc-119", "ed3", "unc", "(x)"]
