@@ -30,6 +30,8 @@ from inkwell.llm import common
 SAMPLE = 4000
 THRESHOLD = 0.5
 BITS = 16
+#: Texts that training works on at a time, 256 at most.
+PIECE = 100
 LEAST_WORDS = 10
 MOST_REPEATED = 20
 SYMBOLS = b"#*$%&|<>"
@@ -165,37 +167,57 @@ def train(texts: list[str], good: np.ndarray, steps: int = 150, rate: float = 0.
     """Logistic regression by Adam over all rows, then Platt scaling on held-out rows."""
     if len(texts) < 20 or len(np.unique(good)) < 2:
         return None
-    rows, columns, values, size = [], [], [], 1 << BITS
-    for k in range(0, len(texts), 200):
-        s = Slice.of([t.encode() for t in texts[k : k + 200]])
-        for block, (bucket, doc) in enumerate(buckets(s)):
-            key, n = np.unique(doc.astype(np.int64) * size + bucket, return_counts=True)
-            doc_n = np.bincount(doc, minlength=len(s.first))
-            rows.append((key // size + k).astype(np.int32))
-            columns.append((key % size + block * size).astype(np.int32))
-            values.append((n / doc_n[key // size]).astype(np.float32))
-    row, column, value = map(np.concatenate, (rows, columns, values))
-    fit = np.arange(len(texts)) % round(1 / held_out) != 0
-    on = fit[row]
-    weight = np.where(good == 1, 0.5 / max(1, good[fit].sum()), 0.5 / max(1, (1 - good[fit]).sum())) * fit
+    size, every = 1 << BITS, np.arange(len(texts))
+    fit = every % round(1 / held_out) != 0
+    # Pieces small enough that what a step makes of one stays in the cache, and is soon let go.
+    pieces = [features_of(texts, own[k : k + PIECE]) for own in (every[fit], every[~fit]) for k in range(0, len(own), PIECE)]
+    trained = [p for p in pieces if fit[p.texts[0]]]
+    weight = np.where(good == 1, 0.5 / max(1, good[fit].sum()), 0.5 / max(1, (1 - good[fit]).sum()))
     w, b = np.zeros(3 * size, dtype=np.float32), 0.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
-    r, c, x = row[on], column[on], value[on]
     for t in range(1, steps + 1):
-        margin = np.bincount(r, weights=w[c] * x, minlength=len(texts)) + b
-        error = (sigmoid(margin) - good) * weight
-        g = np.bincount(c, weights=error[r] * x, minlength=len(w)).astype(np.float32) + decay * w
-        gb = error.sum()
+        total, gb = np.zeros(len(w)), 0.0
+        for p in trained:
+            error = (sigmoid(p.margins(w) + b) - good[p.texts]) * weight[p.texts]
+            total += np.bincount(p.column, weights=error[p.row] * p.value, minlength=len(w))
+            gb += error.sum()
+        g = total.astype(np.float32) + decay * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
         scale = np.sqrt(1 - 0.999**t) / (1 - 0.9**t)
         w -= (rate * scale * m / (np.sqrt(v) + 1e-8)).astype(np.float32)
         b -= rate * scale * mb / (np.sqrt(vb) + 1e-8)
-    margin = np.bincount(row, weights=w[column] * value, minlength=len(texts)) + b
-    slope, shift = platt(margin[~fit], good[~fit])
+    held = [p for p in pieces if not fit[p.texts[0]]]
+    margin = np.concatenate([p.margins(w) + b for p in held])
+    slope, shift = platt(margin, good[np.concatenate([p.texts for p in held])])
     return Model(w.reshape(3, size), float(b), slope, shift)
 
 
+class Features(NamedTuple):
+    """Sparse features of some texts: the place of the text among them, the column and the value of each."""
+
+    texts: np.ndarray
+    row: np.ndarray
+    column: np.ndarray
+    value: np.ndarray
+
+    def margins(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, weights=w[self.column] * self.value, minlength=len(self.texts))
+
+
+def features_of(texts: list[str], own: np.ndarray) -> Features:
+    """Of each block, the share of each bucket among a text's features."""
+    s, size = Slice.of([texts[i].encode() for i in own.tolist()]), 1 << BITS
+    rows, columns, values = [], [], []
+    for block, (bucket, doc) in enumerate(buckets(s)):
+        key, n = np.unique(doc.astype(np.int64) * size + bucket, return_counts=True)
+        row = key // size
+        rows.append(row.astype(np.uint8))
+        columns.append((key % size + block * size).astype(np.int32))
+        values.append((n / np.bincount(doc, minlength=len(own))[row]).astype(np.float32))
+    return Features(own, *map(np.concatenate, (rows, columns, values)))
+
+
 def platt(margin: np.ndarray, good: np.ndarray, steps: int = 50) -> tuple[float, float]:
     """Slope and shift that calibrate margins, by Newton's method with Platt's smoothed targets."""
     p, n = good.sum(), len(good) - good.sum()
