@@ -4,7 +4,11 @@ A page is cut into blocks at block-level tags. The first pass decides each
 block alone: what stands in menus, headers, footers, sidebars, notices,
 adverts, forms or reader comments (by element, or by class, id and role) and
 what is mostly links is boilerplate; long blocks with many stop words are
-text; other long blocks without are boilerplate. The second pass gives
+text; other long blocks without are boilerplate, if the stop words are those of
+their language: blocks in other scripts, and those of a page that hardly has any
+stop words, are judged by their length alone. Lists of links and lines with a
+copyright sign belong to an article that holds no boilerplate by element or
+class. The second pass gives
 ambiguous blocks the label of the nearest neighbours that their own text
 decided (what an element or class decided says nothing about its neighbours);
 the edge of an article or main element counts as text for its inside.
@@ -33,6 +37,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 from html import unescape
 from typing import NamedTuple
 
@@ -75,13 +80,14 @@ HEADED = frozenset("entry post article story page content section title chapter"
 NAMED = re.compile(r"(?:^|[\s\"'])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.IGNORECASE)
 TAG_NAME = re.compile(r"[a-zA-Z][a-zA-Z0-9:-]*+")
 PLAIN = re.compile(r"[^>\"']*+")
+NEXT_LINK = re.compile(r"</?a(?=[\s/>])", re.IGNORECASE)
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 class Block(NamedTuple):
     text: str
-    linked: int  # code points within links
+    linked: int  # code points within links, without white space
     boiler: bool  # by what it stands in
     article: bool
     heading: bool
@@ -168,7 +174,7 @@ def blocks(page: str, marks: Iterable[Tag] | None = None) -> list[Block]:
     stack, opened = [0], Counter()
     parts: list[str] = []
     linked = at = 0
-    link = heading = False
+    link = across = heading = False  # across: the link is closed by a tag of its own, so block tags within it don't end it
     unseen = Counter()
     hidden = 0
 
@@ -186,7 +192,8 @@ def blocks(page: str, marks: Iterable[Tag] | None = None) -> list[Block]:
         if chunk and not hidden:
             chunk = unescape(chunk)
             parts.append(chunk)
-            linked += len(chunk) * link
+            if link:
+                linked += len("".join(chunk.split()))
 
     closed: dict[str, int] = {}  # where the next end tag of a hidden element is
     for before, after, tag, ends, attributes in tags(page) if marks is None else marks:
@@ -211,12 +218,13 @@ def blocks(page: str, marks: Iterable[Tag] | None = None) -> list[Block]:
         if tag == "body" and unseen["head"]:
             hidden -= unseen.pop("head")
         if tag == "a":
-            link = not ends
+            link = not ends and "href" in attributes.lower()
+            across = link and bool(own := NEXT_LINK.search(page, at)) and own[0][1] == "/"
         elif tag == "br":
             parts.append("\n")
         elif tag in BLOCK_TAGS:
             close()
-            link = False
+            link = link and across
             heading = tag in HEADINGS and not ends
             if tag not in CONTAINERS:
                 continue
@@ -251,27 +259,67 @@ def blocks(page: str, marks: Iterable[Tag] | None = None) -> list[Block]:
     return [Block(text, n, holders[k].boiler, holders[k].article, head) for text, n, k, head in found]
 
 
-def decide(b: Block) -> bool | None:
-    """First pass: text (True), boilerplate (False) or ambiguous (None)."""
-    size = len(b.text)
-    if b.boiler or b.linked > LINK_DENSITY * size:
-        return False
-    if "©" in b.text and size < LONG:
+def stop_words(text: str) -> tuple[int, int]:
+    """Stop words, and all words."""
+    words = text.lower().split()
+    return sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words), len(words)
+
+
+def foreign(text: str) -> bool:
+    """Whether most letters are of a script that the stop words don't have."""
+    letters = [c for c in text if c.isalpha()]
+    return 2 * sum(c > "\u024f" for c in letters) > len(letters)
+
+
+def length(text: str) -> int:
+    """Code points; ideographs and syllables, of which a word has fewer, count twice."""
+    return len(text) if text.isascii() else len(text) + len(WIDE.findall(text))
+
+
+WIDE = re.compile("[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]")
+
+
+class Page:
+    """What the first pass knows of a whole page."""
+
+    def __init__(self, found: list[Block]):
+        self.found = found
+        #: Whether articles hold boilerplate by element or class, so that links and notices within may be some, too.
+        self.mixed = any(b.article and b.boiler for b in found)
+
+    @cached_property
+    def known(self) -> bool:
+        """Whether the page's own text has the stop words of a known language."""
+        counts = [stop_words(b.text) for b in self.found if not b.boiler and not linky(b)]
+        return sum(n for n, _ in counts) >= STOP_LOW * sum(n for _, n in counts)
+
+    def decide(self, b: Block) -> bool | None:
+        """First pass: text (True), boilerplate (False) or ambiguous (None)."""
+        size = length(b.text)
+        if b.boiler:
+            return False
+        if (linky(b) or ("©" in b.text and size < LONG)) and not (b.article and not self.mixed):
+            return False
+        if size < SHORT or b.heading or linky(b):
+            return None
+        stop, words = stop_words(b.text)
+        if stop < STOP_LOW * words and (foreign(b.text) or not self.known):
+            return True if size >= LONG else None
+        if stop >= STOP_HIGH * words and size >= LONG:
+            return True
+        if stop >= STOP_LOW * words or b.article:
+            return None
         return False
-    if size < SHORT or b.heading:
-        return None
-    words = b.text.lower().split()
-    density = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
-    if density >= STOP_HIGH and size >= LONG:
-        return True
-    if density >= STOP_LOW or b.article:
-        return None
-    return False
+
+
+def linky(b: Block) -> bool:
+    return b.linked > LINK_DENSITY * (len(b.text) - b.text.count(" "))
 
 
 def classify(page: list[Block]) -> list[bool]:
     """Both passes: whether each block is main text."""
-    first = [decide(b) for b in page]
+    own = Page(page)
+    first = [own.decide(b) for b in page]
     out = []
     before: list[bool | None] = []
     last: bool | None = None
