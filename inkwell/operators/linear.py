@@ -92,17 +92,19 @@ class Bulk:
     def passed(self, weights: dict[str, np.ndarray], active: dict[str, np.ndarray], of: Callable) -> dict[str, np.ndarray]:
         """By column of features, sums over the rows of ``of(x, margins, labels, folds, problems)``, an array of a row for each problem."""
         used = [c for c in self.columns if len(active[c])]
-        own = {c: (weights[c][active[c]].T, np.array(self.by[c])[active[c]]) for c in used}
+        # Broadcast for this pass only: as part of the plan, each pass's weights would stay with the driver.
+        own = self.rows.sparkSession.sparkContext.broadcast({c: (weights[c][active[c]].T, np.array(self.by[c])[active[c]]) for c in used})
 
         def run(batch: pa.RecordBatch) -> np.ndarray:
             label, fold = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("label", "fold"))
             out = []
-            for c, (w, problems) in own.items():
+            for c, (w, problems) in own.value.items():
                 x = np.column_stack([np.ones(batch.num_rows), matrix(batch.column(c))])
                 out.append(of(x, x @ w, label, fold, problems).ravel())
             return np.concatenate(out)
 
         total, out, at = batch_sums(self.rows, run), {}, 0
+        own.destroy()
         for c in used:
             n, width = len(active[c]), getattr(of, "width", self.dims[c])
             out[c], at = total[at : at + n * width].reshape(n, width), at + n * width

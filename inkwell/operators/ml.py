@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from typing import Any
 
 import numpy as np
@@ -17,19 +17,17 @@ from inkwell.operators import neighbours, robust
 from inkwell.sources.storage import stored
 
 SEED = 42
-#: A class's shuffled order is cut into two to this many buckets.
-BUCKET_BITS = 8
 FOLDS = 5
 
 
 def with_class_rank(df: DataFrame, label: str, key: str, seed: int = SEED) -> DataFrame:
     """``df`` with ``__r``, a row's place in a shuffled order of its class from 1 (a function of key and seed), and ``__n``, the class's size.
 
-    The order is that of a hash, whose high bits cut each class into buckets:
-    rows are ranked within a bucket, after the buckets before it, so no task
-    holds a class.
+    The order is that of the MD5 of ``key:seed`` and, for equal ones, the key;
+    its first two digits cut each class into buckets: rows are ranked within a
+    bucket, after the buckets before it, so no task holds a class.
     """
-    drawn = df.withColumn("__h", F.xxhash64(key, F.lit(seed))).withColumn("__b", F.shiftright("__h", 64 - BUCKET_BITS).cast("int"))
+    drawn = df.withColumn("__h", F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))).withColumn("__b", F.substring("__h", 1, 2))
     sizes = drawn.groupBy(label, "__b").agg(F.count("*").alias("__size"))
     own = Window.partitionBy(label)
     before = own.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
@@ -161,14 +159,3 @@ def path_length(tree, v: np.ndarray) -> float:
         d, t, low, high = tree
         tree, depth = (low if v[d] < t else high), depth + 1
     return depth + (2 * (np.log(tree - 1) + 0.5772) - 2 * (tree - 1) / tree if tree > 1 else 0.0)
-
-
-def scored_genes(candidates: DataFrame, scorer: Callable[[pd.Series], pd.Series], text: str = "text") -> DataFrame:
-    """``candidates`` with ``score``, from a pluggable scorer of ``symbol + counts. + abstract`` texts."""
-
-    @F.pandas_udf("double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield scorer(batch).astype("float64")
-
-    return candidates.withColumn("score", run(F.col(text)))

@@ -9,9 +9,9 @@ only distances within the bound are kept. An approximate search leaves that
 second visit out.
 
 Rows and queries meet by cell in a shuffle. Large cells, and cells with many
-queries, are split into parts of about ``PART_ROWS``, so a task compares a
-bounded number of rows with a bounded number of queries, however the rows are
-spread over the cells. What reaches the driver is the sample and a row for each
+queries, are split into parts of a bounded size, so a task compares a bounded
+number of rows with a bounded number of queries, however the rows are spread
+over the cells. What reaches the driver is the sample and a row for each
 cell, both bounded.
 
 The work of an exact search is that of the cells visited: nearly linear where
@@ -38,10 +38,12 @@ from inkwell.operators.sums import matrix
 from inkwell.sources.storage import stored
 
 SEED = 42
-#: Rows that a cell holds on average, the most cells, sampled rows a cell, and the most values that are sampled.
-CELL_ROWS, MAX_CELLS, SAMPLED, SAMPLE_VALUES = 4096, 4096, 64, 1 << 21
-#: Rows of a cell, and queries, that meet in a task; queries and values that a step of it works on.
-PART_ROWS, STEP, STEP_VALUES = 4096, 512, 1 << 22
+#: The most cells, sampled rows a cell, and the most values that are sampled.
+MAX_CELLS, SAMPLED, SAMPLE_VALUES = 4096, 64, 1 << 21
+#: Rows, and values, of a cell that meet as many queries in a task; queries and values that a step of it works on.
+PART_ROWS, PART_VALUES, STEP, STEP_VALUES = 1 << 14, 1 << 20, 512, 1 << 22
+#: Rows among which a first bound of the k-th distance is sought.
+FIRST = 2048
 NEAR = "array<struct<d: double, i: long, y: long>>"
 
 
@@ -65,21 +67,39 @@ def centers_of(sample: np.ndarray, cells: int, rounds: int = 8) -> np.ndarray:
     return centers
 
 
+def part_rows(dim: int) -> int:
+    return max(1, min(PART_ROWS, PART_VALUES // max(1, dim)))
+
+
+def rough(x: np.ndarray, y: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """Distances to the power p but for a summand of each query, the summands, and how far they may be off."""
+    if p != 2:
+        made = distances(x, y, p)
+        return made, np.zeros(len(x)), 1e-9 * (1 + made.max(initial=0))
+    # In single precision, near the rows' center, where products lose least.
+    center = y.mean(axis=0)
+    x, y = (x - center).astype(np.float32), (y - center).astype(np.float32)
+    own, other = np.einsum("ij,ij->i", x, x), np.einsum("ij,ij->i", y, y)
+    made = x @ (-2 * y.T)
+    made += other
+    return made, own, (x.shape[1] + 8) * 2.4e-7 * float(own.max(initial=0) + other.max(initial=0))
+
+
 def near_rows(x: np.ndarray, reach: np.ndarray, own: np.ndarray, y: np.ndarray, ids: np.ndarray, k: int, p: int, others: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, row, distance) of the k rows nearest to each query, within its reach, in order of query, distance and id."""
-    power = distances(x, y, p)
+    power, summand, slack = rough(x, y, p)
     if others:
         order = np.argsort(ids)
         at = np.minimum(np.searchsorted(ids, own, sorter=order), len(ids) - 1)
         same = np.flatnonzero(ids[order[at]] == own)
         power[same, order[at[same]]] = np.inf
-    limit = reach**p
-    loose = np.flatnonzero(~np.isfinite(limit))
+    limit = reach**p - summand
+    loose = np.flatnonzero(~np.isfinite(reach))
     if len(loose):
-        limit[loose] = np.partition(power[loose], min(k, len(ids)) - 1, axis=1)[:, min(k, len(ids)) - 1]
-    # Products lose the distances of close rows; differences of the rows chosen keep them.
-    slack = 1e-9 * (np.abs(x).max(initial=0) ** p + np.abs(y).max(initial=0) ** p) * max(1, x.shape[1])
-    query, row = np.nonzero((power <= limit[:, None] + slack) & np.isfinite(power))
+        # The k-th distance among some of the rows bounds the one among all.
+        some = power[loose, : max(k, FIRST)]
+        limit[loose] = np.partition(some, min(k, some.shape[1]) - 1, axis=1)[:, min(k, some.shape[1]) - 1]
+    query, row = np.nonzero((power <= (limit + 2 * slack).astype(power.dtype)[:, None]) & np.isfinite(power))
     width = max(1, STEP_VALUES // max(1, x.shape[1]))
     parts = [(np.abs(x[query[a : a + width]] - y[row[a : a + width]]) ** p).sum(axis=1) for a in range(0, len(query), width)]
     d = np.concatenate(parts) if parts else np.zeros(0)
@@ -102,12 +122,12 @@ class CellIndex(NamedTuple):
     p: int
 
     @classmethod
-    def build(cls, rows: DataFrame, p: int = 2, cell_rows: int = CELL_ROWS) -> CellIndex | None:
+    def build(cls, rows: DataFrame, p: int = 2, cell_rows: int | None = None) -> CellIndex | None:
         """An index of rows (__id long, v array<double>, y long); none without rows. Ids are distinct."""
         n, dim = rows.agg(F.count("*"), F.max(F.size("v"))).first()
         if not n:
             return None
-        cells = max(1, min(MAX_CELLS, -(-n // cell_rows), SAMPLE_VALUES // max(1, dim) // 8))
+        cells = max(1, min(MAX_CELLS, -(-n // (cell_rows or part_rows(dim))), SAMPLE_VALUES // max(1, dim) // 8))
         size = max(cells, min(SAMPLED * cells, SAMPLE_VALUES // max(1, dim)))
         sample = np.array([r.v for r in rows.select("v", "__id").orderBy(F.xxhash64("__id", F.lit(SEED)), "__id").limit(size).collect()], dtype=float)
         centers = centers_of(sample, cells)
@@ -154,10 +174,10 @@ class CellIndex(NamedTuple):
 
     def met(self, visits: DataFrame, k: int, others: bool) -> DataFrame:
         """__id, near: up to k rows of each part of each cell that a query visits."""
-        spark = visits.sparkSession
+        spark, most = visits.sparkSession, part_rows(self.centers.shape[1])
         each = visits.select("__id", "v", "reach", F.explode("cells").alias("cell"))
-        wanted = each.groupBy("cell").agg(F.ceil(F.count("*") / PART_ROWS).cast("int").alias("queries"))
-        sizes = spark.createDataFrame([(c, -(-int(n) // PART_ROWS)) for c, n in enumerate(self.counts) if n], "cell int, rows int")
+        wanted = each.groupBy("cell").agg(F.ceil(F.count("*") / most).cast("int").alias("queries"))
+        sizes = spark.createDataFrame([(c, -(-int(n) // most)) for c, n in enumerate(self.counts) if n], "cell int, rows int")
         split = F.broadcast(wanted.join(F.broadcast(sizes), "cell"))  # a row for each cell
         dealt = lambda parts, seed: F.pmod(F.xxhash64("__id", F.lit(seed)), F.col(parts)).cast("int")
         copies = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
@@ -198,7 +218,7 @@ class CellIndex(NamedTuple):
         return first.union(self.met(rest, k, others)).groupBy("__id").agg(best.alias("near"))
 
 
-def local_outlier_factors(rows: DataFrame, k: int = 20, cell_rows: int = CELL_ROWS) -> DataFrame:
+def local_outlier_factors(rows: DataFrame, k: int = 20, cell_rows: int | None = None) -> DataFrame:
     """__id, lof: the density of a row's k exact neighbours over its own, of rows (__id long, v array<double>)."""
     index = CellIndex.build(rows.withColumn("y", F.lit(0).cast("long")), cell_rows=cell_rows)
     if index is None:

@@ -132,27 +132,31 @@ def penalized_model_rank(spark: SparkSession, sf: str) -> DataFrame:
     return ml.ranked_models(scores).select("name", F.round("score", 9).alias("score"), "rank")
 
 
-@query("H04", "SELECT quality AS label, least(count(*), (SELECT count(*) FROM labels WHERE quality = 0)) AS n FROM labels GROUP BY 1")
+def class_ranks(table: str, label: str, key: str, seed: int = ml.SEED) -> str:
+    """The shuffled order of each class (r, from 1) and its size (n), in SQL."""
+    return f"SELECT *, row_number() OVER (PARTITION BY {label} ORDER BY md5({key} || ':{seed}'), {key}) AS r, count(*) OVER (PARTITION BY {label}) AS n FROM {table}"
+
+
+@query("H04", f"SELECT doc_id, quality AS label FROM ({class_ranks('labels', 'quality', 'doc_id')}) WHERE quality <> 1 OR r <= (SELECT count(*) FROM labels WHERE quality = 0)")
 def stratified_undersample(spark: SparkSession, sf: str) -> DataFrame:
     rows = ml.undersampled(table(spark, sf, "labels"), "quality", "doc_id", large=1, like=0)
-    return rows.groupBy(F.col("quality").alias("label")).agg(F.count("*").alias("n"))
+    return rows.select("doc_id", F.col("quality").alias("label"))
 
 
-@query("H02", "SELECT quality AS label, CAST(round(count(*) * 0.2) AS BIGINT) AS held, count(*) - CAST(round(count(*) * 0.2) AS BIGINT) AS training FROM labels GROUP BY 1")
-def stratified_split_sizes(spark: SparkSession, sf: str) -> DataFrame:
-    rows = ml.stratified_split(table(spark, sf, "labels"), "quality", "doc_id")
-    return rows.groupBy(F.col("quality").alias("label")).agg(F.count_if("held_out").alias("held"), F.count_if(~F.col("held_out")).alias("training"))
+@query("H02", f"SELECT doc_id, quality AS label, r <= round(n * 0.2) AS held_out FROM ({class_ranks('labels', 'quality', 'doc_id')})")
+def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
+    return ml.stratified_split(table(spark, sf, "labels"), "quality", "doc_id").select("doc_id", F.col("quality").alias("label"), "held_out")
 
 
-@query("H05", "SELECT quality AS label, (rn - 1) % 5 AS fold, count(*) AS n FROM (SELECT quality, row_number() OVER (PARTITION BY quality ORDER BY doc_id) AS rn FROM labels) GROUP BY 1, 2")
-def fold_sizes(spark: SparkSession, sf: str) -> DataFrame:
-    return ml.folds(table(spark, sf, "labels"), "quality", "doc_id").groupBy(F.col("quality").alias("label"), "fold").agg(F.count("*").alias("n"))
+@query("H05", f"SELECT doc_id, quality AS label, CAST((r - 1) % 5 AS INT) AS fold FROM ({class_ranks('labels', 'quality', 'doc_id')})")
+def stratified_folds(spark: SparkSession, sf: str) -> DataFrame:
+    return ml.folds(table(spark, sf, "labels"), "quality", "doc_id").select("doc_id", F.col("quality").alias("label"), "fold")
 
 
-@query("F10", "SELECT event_type, least(count(*), 10) AS n FROM events GROUP BY 1")
+@query("F10", f"SELECT event_type, event_id FROM ({class_ranks('events', 'event_type', 'event_id', 7)}) WHERE r <= 10")
 def seeded_sample(spark: SparkSession, sf: str) -> DataFrame:
     ranked = ml.with_class_rank(table(spark, sf, "events").select("event_type", "event_id"), "event_type", "event_id", 7)
-    return ranked.where("__r <= 10").groupBy("event_type").agg(F.count("*").alias("n"))
+    return ranked.where("__r <= 10").select("event_type", "event_id")
 
 
 def vector_data(spark: SparkSession, sf: str) -> DataFrame:
@@ -216,12 +220,6 @@ def outlier_removal(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(kept, "method string, kept long, total long")
 
 
-@query("H16")
-def gene_scores(spark: SparkSession, sf: str) -> DataFrame:
-    texts = table(spark, sf, "benchmark").select("item_id", F.concat_ws(". ", F.concat_ws(" ", F.lit("gene"), F.col("item_id").cast("string")), "text").alias("text"))
-    return ml.scored_genes(texts, lambda s: 1 / (1 + s.str.len())).select("item_id", "score")
-
-
 @query("E10")
 def hashed_bag_of_words(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.bag_of_words(table(spark, sf, "documents").select("doc_id", "text"), "text").select("doc_id", "bow")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.functions import antibody, species, text
-from inkwell.operators import dictionary, taxonomy
+from inkwell.operators import dictionary, scoring, taxonomy
 from inkwell.plans.catalog import query
 from inkwell.sources.storage import stored
 from inkwell.sources.tables import table
@@ -155,6 +155,16 @@ def gated(spark: SparkSession, sf: str, names: DataFrame) -> DataFrame:
     return passed.withColumn("tfidf", F.round("tfidf", 9))
 
 
+@query("H16")
+def gene_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """The most frequent curated name of every document, scored with its text by a model of the labelled documents."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    labelled = docs.join(table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id")
+    path = scoring.trained(labelled).save(spark)
+    found = scoring.best_candidates(dictionary.mentions(docs, curated_names(spark, sf)), docs)
+    return scoring.scored_by(found, path).select("doc_id", "symbol", "n", F.round("score", 6).alias("score"))
+
+
 @query("D14 D12")
 def dictionary_longest_match(spark: SparkSession, sf: str) -> DataFrame:
     # Of every item its whole text and, as a short name, its first words.
