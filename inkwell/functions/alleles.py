@@ -2,8 +2,8 @@
 
 Rules are rows of a table: to which names a rule applies, and what in the text
 speaks against the name. The first row that holds gives the reason. Rules that
-count mentions are functions in the same table. Texts and candidates meet once
-per document, in Arrow batches.
+count mentions are functions in the same table. A document's text and names are
+one row, which meets the rules in Arrow batches.
 """
 
 from __future__ import annotations
@@ -12,8 +12,8 @@ import re
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 I = re.IGNORECASE  # noqa: E741
@@ -64,9 +64,31 @@ class Paper(NamedTuple):
         return sum(1 for _ in re.finditer(pattern, self.text, I))
 
 
+def windows(text: str, c: str, reach: int = 50) -> Iterator[str]:
+    """Mentions with what stands within ``reach`` characters of them on their line; windows don't overlap.
+
+    A window begins at most ``reach`` before the first mention that is left,
+    and goes on around the last mention that begins within ``reach`` of there.
+    """
+    mentions = [(m.start(), m.end()) for m in re.finditer(rf"\b{c}\b", text, I)]
+    end = k = 0
+    while k < len(mentions):
+        first = mentions[k][0]
+        if first < end:
+            k += 1
+            continue
+        begin = max(end, first - reach, text.rfind("\n", 0, first) + 1)
+        while k + 1 < len(mentions) and mentions[k + 1][0] <= begin + reach and "\n" not in text[first : mentions[k + 1][0]]:
+            k += 1
+        line = text.find("\n", mentions[k][1])
+        end = min(mentions[k][1] + reach, len(text) if line < 0 else line)
+        yield text[begin:end]
+        k += 1
+
+
 def in_control(paper: Paper, c: str) -> bool:
-    """Mentions as a control outweigh the others; windows stay on a line and don't overlap."""
-    control = sum(bool(re.search(CONTROL_WORDS, w[0], I)) for w in re.finditer(rf".{{0,50}}\b{c}\b.{{0,50}}", paper.text, I))
+    """Mentions as a control outweigh the others."""
+    control = sum(bool(re.search(CONTROL_WORDS, w, I)) for w in windows(paper.text, c))
     if not control:
         return False
     mentions = paper.count(rf"\b{c}\b")
@@ -177,34 +199,43 @@ def rescued(text: str | None, found: list[str], case_sensitive: bool = False) ->
     return out
 
 
-def judged(df: DataFrame, text: str, candidate: str, name: str = "reason") -> DataFrame:
-    """``df`` (a row for each text and candidate) with the reason to reject the candidate, or null."""
+def judged(docs: DataFrame, text: str, names: str, key: str, curated: DataFrame | None = None, chain: bool = False) -> DataFrame:
+    """key, name, reason: why each of a document's ``names`` (an array) is to be rejected, null for the kept ones.
+
+    A document is one row with all its names, so its text is sent once and
+    never shuffled. ``chain``: short names need context, further names are
+    rescued from the text, and dots are stripped before the rules. Of
+    ``curated`` (name), other names are left out; reasons don't depend on it.
+    """
+    kind = docs.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for k, t, own in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "names")), strict=True):
+                own = [n for n in own or [] if n]
+                for n in chained(t, own) if chain else dict.fromkeys(own):
+                    rows.append((k, n, rejection(t, n)))
+            columns = zip(*rows, strict=True) if rows else [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (batch.column("key").type, pa.string(), pa.string()), strict=True)], names=["key", "name", "reason"])
 
-    @F.pandas_udf("string")
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for texts, candidates in batches:
-            yield pd.Series([rejection(t, c) for t, c in zip(texts, candidates, strict=True)], dtype=object)
+    found = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(names).alias("names")).mapInArrow(run, f"key {kind}, name string, reason string")
+    if curated is not None:
+        found = found.join(curated.select("name").distinct(), "name", "left_semi")
+    return found.select(F.col("key").alias(key), "name", "reason")
 
-    return df.withColumn(name, run(F.col(text), F.col(candidate)))
 
+def chained(text: str | None, found: list[str]) -> list[str]:
+    """The names that the rules decide on: found ones with context if short, then rescued ones, without dots at their ends."""
+    names = [n for n in found if not ULTRA_SHORT.fullmatch(n.lower()) or looks_like_allele(text, n)]
+    return [n for n in dict.fromkeys(n.rstrip(".") for n in [*names, *rescued(text, names, True)]) if n]
 
-def processed(df: DataFrame, text: str, found: str, curated: DataFrame, key: str) -> DataFrame:
-    """key, name, reason: the whole chain from found names to kept (null reason) and rejected ones.
 
-    Short names need context, further names are rescued, dots are stripped,
-    and only curated names go on to the rules.
-    """
-    kinds = df.schema[key].dataType.simpleString()
+def category(reason: Column) -> Column:
+    """What a reason says, without the name that it says it of."""
+    return F.trim(F.substring_index(reason, "(", 1))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for k, t, names in zip(batch[key], batch[text], batch[found], strict=True):
-                names = [n for n in (names if names is not None else []) if not ULTRA_SHORT.fullmatch(n.lower()) or looks_like_allele(t, n)]
-                names = dict.fromkeys(n.rstrip(".") for n in [*names, *rescued(t, names, True)])
-                rows += [(k, n, t) for n in names if n]
-            yield pd.DataFrame(rows, columns=[key, "name", text])
-
-    names = df.select(key, text, found).mapInPandas(run, f"`{key}` {kinds}, name string, `{text}` string")
-    known = names.join(curated.select("name").distinct(), "name", "left_semi")
-    return judged(known, text, "name").select(key, "name", "reason")
+
+def reasons(judged_names: DataFrame) -> DataFrame:
+    """category, n: how many names each kind of reason rejects."""
+    return judged_names.where("reason is not null").groupBy(category(F.col("reason")).alias("category")).agg(F.count("*").alias("n"))

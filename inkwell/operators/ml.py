@@ -61,8 +61,8 @@ def penalised(test: Column, cv: Column) -> Column:
 
 
 def ranked_models(scores: DataFrame) -> DataFrame:
-    """name, test, cv, score, rank; ties go to the first name."""
-    scored = scores.withColumn("score", penalised(F.col("test"), F.col("cv")))
+    """name, test, cv, score (to nine places), rank; ties go to the first name. A row for each model: few."""
+    scored = scores.withColumn("score", F.round(penalised(F.col("test"), F.col("cv")), 9))
     return scored.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), "name")))
 
 

@@ -222,7 +222,7 @@ def section_concat(spark: SparkSession, sf: str) -> DataFrame:
     return turns.select("conv_id", F.array_join(F.transform("s", lambda x: x["text"]), " ").alias("fulltext"))
 
 
-@query("E18 G28", "SELECT trim(split_part(o_orderpriority, '-', 2)) AS reason, count(*) AS n FROM orders GROUP BY 1")
+@query("E16", "SELECT trim(split_part(o_orderpriority, '-', 2)) AS reason, count(*) AS n FROM orders GROUP BY 1")
 def reason_histogram(spark: SparkSession, sf: str) -> DataFrame:
     reason = F.trim(F.split("o_orderpriority", "-")[1])
     return table(spark, sf, "orders").groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))

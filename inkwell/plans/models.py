@@ -125,11 +125,13 @@ def precision_recall_f1(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("H09 F05", """
-WITH m(name, test, cv) AS (VALUES ('a', 0.80, 0.82), ('b', 0.70, 0.90), ('c', 0.81, 0.80), ('d', 0.81, 0.80))
-SELECT name, round((0.7 * test + 0.3 * cv - 2 * greatest(0, cv - test - 0.05))::DOUBLE, 9) AS score, row_number() OVER (ORDER BY 0.7 * test + 0.3 * cv - 2 * greatest(0, cv - test - 0.05) DESC, name) AS rank FROM m""")
+WITH m AS (SELECT CAST(user_id AS VARCHAR) AS name, avg(value) / 100 AS test, avg(CASE WHEN event_type = 'click' THEN value END) / 100 AS cv FROM events GROUP BY 1 HAVING cv IS NOT NULL),
+p AS (SELECT name, 0.7 * test + 0.3 * cv - 2 * greatest(0, cv - test - 0.05) AS score FROM m) SELECT name, round(score, 9) AS score, row_number() OVER (ORDER BY round(score, 9) DESC, name) AS rank FROM p""")
 def penalized_model_rank(spark: SparkSession, sf: str) -> DataFrame:
-    scores = spark.createDataFrame([("a", 0.80, 0.82), ("b", 0.70, 0.90), ("c", 0.81, 0.80), ("d", 0.81, 0.80)], "name string, test double, cv double")
-    return ml.ranked_models(scores).select("name", F.round("score", 9).alias("score"), "rank")
+    """Every user's mean value as a test score, that of the clicks as one of cross-validation."""
+    clicks = F.avg(F.when(F.col("event_type") == "click", F.col("value"))) / 100
+    scores = table(spark, sf, "events").groupBy(F.col("user_id").cast("string").alias("name")).agg((F.avg("value") / 100).alias("test"), clicks.alias("cv")).where("cv is not null")
+    return ml.ranked_models(scores).select("name", "score", "rank")
 
 
 def class_ranks(table: str, label: str, key: str, seed: int = ml.SEED) -> str:

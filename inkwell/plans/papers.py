@@ -12,37 +12,43 @@ from inkwell.sources.storage import shared_folder
 from inkwell.sources.tables import table
 from inkwell.streaming import jobs as streams
 
-PAPER = """# A *title* of unc-119
-
-Some **bold** abstract.
-
-## Introduction
-
-The e1370 allele. See Fig. 2.
-
-## References
-
-1. Old paper."""
-
-
-@query("A16 A17 C09 H01", "SELECT * FROM (VALUES ('p1', 'A title of unc-119', 'Some bold abstract. The e1370 allele. See Fig. 2.')) t(name, title, fulltext)")
+@query("A16 A17 C09 H01", r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l, coalesce(lang, '') AS lang FROM documents),
+n AS (SELECT doc_id, 'A title of ' || doc_id AS title, [trim(regexp_replace(regexp_replace(x, '\*\*([^*]+)\*\*|\*([^*]+)\*|__([^_]+)__|`([^`]+)`', '\1\2\3\4', 'g'), '\s+', ' ', 'g'))
+ for x in ['Some bold ' || lang || ' abstract.', l[1], array_to_string(l[2:len(l)], chr(10))]] AS parts FROM d)
+SELECT doc_id, title, array_to_string([x for x in parts if x <> ''], ' ') AS fulltext FROM n""")
 def markdown_fulltext(spark: SparkSession, sf: str) -> DataFrame:
-    sections = papers.markdown_sections(spark.createDataFrame([("p1", PAPER)], "name string, text string"))
-    title = sections.where("ord = 1").select("name", F.col("section").alias("title"))
-    return title.join(papers.fulltext(sections), "name")
-
-
-@query("A14 A15 A17 B14", "SELECT * FROM (VALUES ('a.md', 'plain é'), ('a.supp_2.md', 'x'), ('a.supp_10.md', 'y')) t(name, text)")
+    """Every document as Markdown of a title, an abstract, two sections and references, read back."""
+    docs, line = table(spark, sf, "documents"), "\n"
+    text_, cut = F.coalesce("text", F.lit("")), F.locate(line, F.coalesce("text", F.lit("")))
+    first = F.when(cut > 0, F.substring(text_, F.lit(1), cut - 1)).otherwise(text_)
+    rest = F.when(cut > 0, F.substring(text_, cut + 1, F.length(text_))).otherwise("")
+    own = F.concat(
+        F.lit("# A *title* of "), F.col("doc_id").cast("string"), F.lit(f"{line}{line}Some **bold** "), F.coalesce("lang", F.lit("")), F.lit(f" abstract.{line}{line}## Introduction{line}"),
+        first, F.lit(f"{line}{line}### Methods{line}"), rest, F.lit(f"{line}{line}## References{line}{line}1. Old paper."),
+    )
+    sections = papers.markdown_sections(docs.select("doc_id", own.alias("text")), "doc_id")
+    title = sections.where("ord = 1").select("doc_id", F.col("section").alias("title"))
+    return title.join(papers.fulltext(sections, "doc_id"), "doc_id")
+
+
+@query("A14 A15 A17 B14", "SELECT doc_id, text FROM documents")
 def files_with_fallback(spark: SparkSession, sf: str) -> DataFrame:
-    rows = [("a.md", "plain é".encode("latin-1")), ("a.supp_2.md", b"x"), ("a.supp_10.md", b"y")]
-    df = spark.createDataFrame(rows, "name string, content binary")
-    return df.select("name", papers.text_of(F.col("content")).alias("text"))
+    """Every document's bytes, of odd ones as Latin-1, as text again."""
+    docs = table(spark, sf, "documents")
+    content = F.when(F.col("doc_id") % 2 == 1, F.encode("text", "ISO-8859-1")).otherwise(F.encode("text", "UTF-8"))
+    return docs.select("doc_id", papers.text_of(content).alias("text"))
 
 
-@query("A15 F08", "SELECT * FROM (VALUES ('a.supp_2.md', 1), ('a.supp_10.md', 2), ('a.supp_x.md', 3)) t(name, ord)")
+@query("A15 F08", """
+WITH f AS (SELECT p_partkey, p_brand AS stem, CASE WHEN p_size % 7 = 0 THEN NULL ELSE p_size * 10 + p_partkey % 10 END AS number, p_brand || '.supp_' || CASE WHEN p_size % 7 = 0 THEN 'x' || p_partkey ELSE CAST(p_size * 10 + p_partkey % 10 AS VARCHAR) END || '.md' AS name FROM part WHERE p_size <> 1)
+SELECT name, row_number() OVER (PARTITION BY stem ORDER BY number NULLS LAST, name) AS ord FROM f""")
 def supplement_order(spark: SparkSession, sf: str) -> DataFrame:
-    names = spark.createDataFrame([("a.supp_10.md",), ("a.supp_x.md",), ("a.supp_2.md",), ("a.md",)], "name string")
-    return papers.supplements(names).select("name", "ord")
+    """Files of each brand: numbered supplements, malformed ones, and main files."""
+    part, size = table(spark, sf, "part"), F.col("p_size")
+    number = F.when(size % 7 == 0, F.concat(F.lit("x"), F.col("p_partkey").cast("string"))).otherwise((size * 10 + F.col("p_partkey") % 10).cast("string"))
+    name = F.when(size == 1, F.concat("p_brand", F.lit(".md"))).otherwise(F.concat("p_brand", F.lit(".supp_"), number, F.lit(".md")))
+    return papers.supplements(part.select(name.alias("name"))).select("name", "ord")
 
 
 TEI = r"""
@@ -96,16 +102,28 @@ def inside_spans(spark: SparkSession, sf: str) -> DataFrame:
     return papers.page_only(events, cut.unionByName(rest), "k")
 
 
-@query("A12 A13 A38", "SELECT * FROM (VALUES ('title', 'A b|c'), ('abstract', 'D')) t(field, content)")
+@query("A12 A13 A38", """
+SELECT c_custkey, 'title' AS field, c_name || ' of|' || c_mktsegment AS content FROM customer UNION ALL SELECT c_custkey, 'abstract', 'From ' || c_nationkey FROM customer""")
 def bib_lines(spark: SparkSession, sf: str) -> DataFrame:
-    lines = spark.createDataFrame([("title| A b|c ",), ("abstract|D",), ("no pipe",)], "value string")
-    return papers.bib(lines).select("field", "content")
+    """A bib file of every customer, written and read back line by line."""
+    path = shared_folder(spark, "bib")
+    lines = F.concat_ws("\n", F.concat(F.lit("title| "), "c_name", F.lit(" of|"), "c_mktsegment", F.lit(" ")), F.concat(F.lit("abstract|From "), F.col("c_nationkey").cast("string")), F.lit("no pipe"))
+    table(spark, sf, "customer").select("c_custkey", F.explode(F.split(lines, "\n")).alias("value")).write.parquet(path)
+    return papers.bib(spark.read.parquet(path)).select("c_custkey", "field", "content")
 
 
-@query("A32 E22 B16", "SELECT * FROM (VALUES ('fb_03152024.log', '2024-03-15', 5, 1), ('x.log', '2024-02-01', 7, 0)) t(filename, date, seen, failed)")
+@query("A32 E22 B16", """
+SELECT 'fb_' || strftime(DATE '2024-01-01' + CAST(user_id AS INT), '%m%d%Y') || '.log' AS filename, strftime(DATE '2024-01-01' + CAST(user_id AS INT), '%Y-%m-%d') AS date, count(*) AS seen,
+count(CASE WHEN event_type = 'error' THEN 1 END) AS failed FROM events GROUP BY user_id""")
 def log_summary_pivot(spark: SparkSession, sf: str) -> DataFrame:
-    logs = [("fb_03152024.log", "RUN SUMMARY: {'seen': 2}\nRUN SUMMARY: {'seen': 5, 'failed': 1}"), ("x.log", "2024-02-01 start\nRUN SUMMARY: {'seen': 7}"), ("none.log", "nothing")]
-    each = papers.run_logs(spark.createDataFrame(logs, "filename string, text string")).select("filename", "date", F.explode("counters").alias("c", "v"))
+    """A log file of every user, of which the last summary counts, written, read and pivoted; the date is that of the file's name."""
+    path = shared_folder(spark, "logs")
+    sums = table(spark, sf, "events").groupBy("user_id").agg(F.count("*").alias("seen"), F.count_if(F.col("event_type") == "error").alias("failed"))
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("user_id").cast("int"))
+    failed = F.when(F.col("failed") > 0, F.concat(F.lit(", 'failed': "), F.col("failed").cast("string"))).otherwise("")
+    log = F.concat(F.lit("2020-01-01 start\nRUN SUMMARY: {'seen': 0, 'failed': 99}\nRUN SUMMARY: {'seen': "), F.col("seen").cast("string"), failed, F.lit("}\nend"))
+    sums.select(F.concat(F.lit("fb_"), F.date_format(day, "MMddyyyy"), F.lit(".log")).alias("filename"), log.alias("text")).write.parquet(path)
+    each = papers.run_logs(spark.read.parquet(path)).select("filename", "date", F.explode("counters").alias("c", "v"))
     return each.groupBy("filename", "date").pivot("c", ["seen", "failed"]).agg(F.max("v")).na.fill(0)
 
 
@@ -116,14 +134,53 @@ def json_counters(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").groupBy("event_type").agg(F.count_if(k < 50).alias("low"), F.count_if(k >= 50).alias("high"))
 
 
-@query("A30 A31", "SELECT * FROM (VALUES ('abc', 'G1'), ('long', 'G1'), ('x', 'G2'), ('y', 'G1'), ('z', 'G2')) t(name, gene)")
+@query("A30", """
+WITH e AS (SELECT p_partkey AS seq, 'G' || p_partkey % 50 AS gene, p_brand || '-' || p_partkey % 50 AS symbol, p_name AS fullname, p_type || '|' || p_name AS symbols, CASE WHEN p_size > 25 THEN p_brand || '|x' || p_size END AS fulls FROM part),
+n AS (SELECT seq, gene, unnest(string_split(coalesce(fulls, ''), '|')) AS name, 0 AS priority FROM e UNION ALL SELECT seq, gene, fullname, 1 FROM e UNION ALL SELECT seq, gene, unnest(string_split(symbols, '|')), 2 FROM e UNION ALL SELECT seq, gene, symbol, 3 FROM e)
+SELECT name, gene FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY priority DESC, seq DESC, gene) AS r FROM n WHERE name <> '') WHERE r = 1""")
 def gene_synonyms(spark: SparkSession, sf: str) -> DataFrame:
-    rows = [(1, "G1", "abc", "long", "x|y", None), (2, "G2", "x", None, None, "z|long2|abc"), (3, "G1", "abc", "long", None, None)]
-    df = spark.createDataFrame(rows, "seq int, gene string, symbol string, fullname string, fullname_synonyms string, symbol_synonyms string")
-    return papers.gene_synonyms(df).where("name <> 'long2'")
-
-
-@query("A33 A04", "SELECT doc_id, 'prod/reference/documents/' || substr(md5(text), 1, 1) || '/' || substr(md5(text), 2, 1) || '/' || substr(md5(text), 3, 1) || '/' || substr(md5(text), 4, 1) || '/' || md5(text) || '.gz' AS path FROM documents")
+    """Names of fifty genes, among which the names, types and brands of all parts are synonyms that meet."""
+    gene = (F.col("p_partkey") % 50).cast("string")
+    rows = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("seq"), F.concat(F.lit("G"), gene).alias("gene"), F.concat("p_brand", F.lit("-"), gene).alias("symbol"), F.col("p_name").alias("fullname"),
+        F.concat_ws("|", "p_type", "p_name").alias("symbol_synonyms"), F.when(F.col("p_size") > 25, F.concat("p_brand", F.lit("|x"), F.col("p_size").cast("string"))).alias("fullname_synonyms"),
+    )
+    return papers.gene_synonyms(rows)
+
+
+@query("A31 D07", """
+SELECT CAST(o_custkey AS VARCHAR) AS "PMID", max('PMC' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0')) AS "PMCID" FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderkey % 5 <> 0 GROUP BY 1""")
+def pmcids(spark: SparkSession, sf: str) -> DataFrame:
+    """A CSV file of pairs of ids, of which some lack either, written and read back."""
+    path, key = shared_folder(spark, "pmcids"), F.col("o_orderkey")
+    pmid = F.when(key % 3 == 0, "").otherwise(F.col("o_custkey").cast("string"))
+    pmcid = F.when(key % 5 == 0, F.lit(None)).otherwise(F.concat(F.lit("PMC"), F.lpad(key.cast("string"), 9, "0")))
+    table(spark, sf, "orders").select(pmid.alias("PMID"), pmcid.alias("PMCID"), F.lit("x,y").alias("Journal")).write.csv(path, header=True)
+    return papers.paired_ids(spark.read.schema("PMID STRING, PMCID STRING, Journal STRING").csv(path, header=True))
+
+
+@query("A26 B08", """
+SELECT DISTINCT 'AGRKB:' || user_id AS curie, CASE WHEN event_type = 'purchase' THEN 'positive' ELSE 'negative' END AS classification FROM events WHERE event_type <> 'error'""")
+def dataset_from_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """A data set's CSV file with spaces, capitals and empty categories, read into entries."""
+    path, kind = shared_folder(spark, "dataset"), F.col("event_type")
+    category = F.when(kind == "purchase", " Positive").when(kind == "error", " ").otherwise("NEGATIVE ")
+    table(spark, sf, "events").select(F.concat(F.lit("AGRKB:"), F.col("user_id").cast("string"), F.lit(" ")).alias("curie"), category.alias("classification")).write.csv(path, header=True)
+    return papers.dataset_entries(spark.read.schema("curie STRING, classification STRING").csv(path, header=True))
+
+
+@query("A27", """
+WITH n AS (SELECT 'AGRKB:' || c_custkey AS curie, min(c_name) AS name FROM customer WHERE c_custkey % 4 <> 0 GROUP BY 1)
+SELECT i.curie, coalesce(n.name, i.curie) AS name FROM (SELECT DISTINCT 'AGRKB:' || o_custkey AS curie FROM orders) i LEFT JOIN n USING (curie)""")
+def named_ids_from_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """A CSV file of ids to classify, with the names that a map has for some."""
+    path, curie = shared_folder(spark, "ids"), lambda c: F.concat(F.lit("AGRKB:"), F.col(c).cast("string"))
+    table(spark, sf, "orders").select(curie("o_custkey").alias("curie")).write.csv(path, header=True)
+    ids = papers.curies(spark.read.schema("curie STRING").csv(path, header=True), line="curie").distinct()
+    return papers.with_names(ids, table(spark, sf, "customer").where("c_custkey % 4 <> 0").select(curie("c_custkey").alias("curie"), F.col("c_name").alias("name")))
+
+
+@query("A33", "SELECT doc_id, 'prod/reference/documents/' || substr(md5(text), 1, 1) || '/' || substr(md5(text), 2, 1) || '/' || substr(md5(text), 3, 1) || '/' || substr(md5(text), 4, 1) || '/' || md5(text) || '.gz' AS path FROM documents")
 def object_paths(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", text.object_path(F.md5("text"), "prod").alias("path"))
 
@@ -137,7 +194,7 @@ def curated_scan(spark: SparkSession, sf: str) -> DataFrame:
     return rows.where(~F.col("name").rlike(r"^\d+$")).groupBy("name").agg(F.max_by("curie", "curie").alias("curie"))
 
 
-@query("A26 A27 A36 B11", "SELECT o_custkey, string_agg(DISTINCT o_orderpriority, ' | ' ORDER BY o_orderpriority) AS entities FROM orders GROUP BY 1")
+@query("A36 B11", "SELECT o_custkey, string_agg(DISTINCT o_orderpriority, ' | ' ORDER BY o_orderpriority) AS entities FROM orders GROUP BY 1")
 def tsv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     sets = table(spark, sf, "orders").groupBy("o_custkey").agg(F.collect_set("o_orderpriority").alias("names"))
     path = shared_folder(spark, "tsv")
@@ -198,31 +255,62 @@ CASES = [
 ]
 
 
-@query("R1 R2 R3 R4a R4b R4c R4d R5 R6a R6b R7 R8 R9 R10 R11 R12 R13 R14 G26 G28", "SELECT * FROM (VALUES " + ", ".join(f"({i}, {'NULL' if r is None else repr(r)})" for i, _, _, r in CASES) + ") t(id, reason)")
+# Every document with one of the sentences between its own text, by its number.
+PLANTED = "c AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, {c!r}, {'NULL' if r is None else repr(r)})" for i, _, c, r in CASES) + f") t(id, name, reason)), p AS (SELECT doc_id, name, reason FROM documents JOIN c ON doc_id % {len(CASES)} + 1 = id)"
+
+
+def planted(spark: SparkSession, sf: str) -> DataFrame:
+    """doc_id, text, names: all documents with a planted sentence and the name to judge in it."""
+    case = F.element_at(F.array(*[F.struct(F.lit(s).alias("s"), F.lit(c).alias("c")) for _, s, c, _ in CASES]), (F.col("doc_id") % len(CASES) + 1).cast("int"))
+    whole = F.concat_ws("\n", "text", case["s"], "text")
+    return table(spark, sf, "documents").select("doc_id", whole.alias("text"), F.array(case["c"]).alias("names"))
+
+
+@query("R1 R2 R3 R4a R4b R4c R4d R5 R6a R6b R7 R8 R9 R10 R11 R12 R13 R14 G26 G28", f"WITH {PLANTED} SELECT * FROM p")
 def allele_rules(spark: SparkSession, sf: str) -> DataFrame:
-    df = spark.createDataFrame([c[:3] for c in CASES], "id int, text string, candidate string")
-    return alleles.judged(df, "text", "candidate").select("id", "reason")
+    return alleles.judged(planted(spark, sf), "text", "names", "doc_id")
 
 
-@query("G27 G29", "SELECT * FROM (VALUES (1, 'e1370', NULL), (1, 'ok1255', NULL), (1, 'ed3', 'background marker (ed3)')) t(id, name, reason)")
+@query("E18 G28", f"WITH {PLANTED} SELECT trim(split_part(reason, '(', 1)) AS category, count(*) AS n FROM p WHERE reason IS NOT NULL GROUP BY 1")
+def allele_reasons(spark: SparkSession, sf: str) -> DataFrame:
+    return alleles.reasons(alleles.judged(planted(spark, sf), "text", "names", "doc_id"))
+
+
+@query("G27 G29", """
+SELECT doc_id, unnest(['e1370', 'ok' || (1000 + doc_id), 'ed3', 'a' || (100 + doc_id % 7)]) AS name, unnest([NULL, NULL, 'background marker (ed3)', NULL]) AS reason FROM documents""")
 def allele_chain(spark: SparkSession, sf: str) -> DataFrame:
-    df = spark.createDataFrame([(1, "daf-2(e1370) and ok1255 in unc-119(ed3), Figure 1 b2.", ["e1370.", "b2"])], "id int, text string, found array<string>")
-    curated = spark.createDataFrame([("e1370",), ("ok1255",), ("ed3",), ("b2",)], "name string")
-    return alleles.processed(df, "text", "found", curated, "id")
+    """Planted names: found with a dot, rescued, a marker, found twice, one too short, and one that no list has."""
+    docs, n = table(spark, sf, "documents"), F.col("doc_id")
+    own, further = F.concat(F.lit("ok"), (n + 1000).cast("string")), F.concat(F.lit("a"), (n % 7 + 100).cast("string"))
+    sentence = F.concat(F.lit("daf-2(e1370) and "), own, F.lit(" in unc-119(ed3), Figure 1 b2, or the "), further, F.lit(" and zz9999 alleles."))
+    rows = docs.select("doc_id", F.concat_ws("\n", "text", sentence).alias("text"), F.array(F.lit("e1370."), F.lit("b2"), further, F.lit("e1370")).alias("found"))
+    listed = docs.select(F.explode(F.array(F.lit("e1370"), F.lit("ed3"), F.lit("b2"), own, further)).alias("name"))
+    return alleles.judged(rows, "text", "found", "doc_id", listed, chain=True)
 
 
-@query("G28 E18")
+@query("G28")
 def allele_candidates_judged(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
-    each = docs.select("doc_id", "text", F.explode(text.allele_tokens(F.col("text"))).alias("candidate"))
-    return alleles.judged(each, "text", "candidate").select("doc_id", "candidate", "reason")
+    docs = table(spark, sf, "documents").withColumn("names", text.allele_tokens(F.col("text")))
+    return alleles.judged(docs, "text", "names", "doc_id").withColumnRenamed("name", "candidate")
+
+
+GENES = {f"gene{i}": f"G{i // 2}" for i in range(20)}
 
 
-@query("E19 C14 C15 A29", "SELECT * FROM (VALUES ('p', 'G1', 2, 1.0)) t(k, gene, n, of_genes)")
+@query("E19 C14 C15", """
+WITH m AS (SELECT doc_id, 'G' || CAST(g // 2 AS VARCHAR) AS gene, n FROM (SELECT doc_id, doc_id % 20 AS g, doc_id % 3 + 1 AS n FROM documents UNION ALL SELECT doc_id, doc_id // 20 % 20, 1 FROM documents) WHERE g <> 7),
+s AS (SELECT doc_id, gene, sum(n) AS n FROM m GROUP BY 1, 2) SELECT doc_id, gene, CAST(n AS BIGINT) AS n, round(n / sum(n) OVER (PARTITION BY doc_id), 9) AS of_genes FROM s""")
 def italic_gene_mentions(spark: SparkSession, sf: str) -> DataFrame:
-    xml = "<article><front><italic>abc</italic></front><body><sec><p><italic>abc</italic></p></sec><sec><p>The <italic>abc</italic> gene and <italic>a1</italic>, <italic>not-abc</italic></p></sec></body></article>"
-    rows = papers.gene_mentions(spark.createDataFrame([("p", xml)], "k string, xml string"), {"abc": "G1", "a1": "G1", "not-abc": "G2"}, ["not"], "k")
-    return rows.select("k", "gene", "n", "of_genes")
+    """Every document as XML with italic genes in its front, its first section and the others; one gene is an exception."""
+    docs, n = table(spark, sf, "documents"), F.col("doc_id")
+    italic = lambda g: F.concat(F.lit("<italic>gene"), g.cast("string"), F.lit("</italic> "))
+    one, other = italic(n % 20), italic(F.floor(n / 20) % 20)
+    escaped = F.regexp_replace(F.coalesce("text", F.lit("")), "[<>&]", " ")
+    sections = F.concat(F.lit("<sec><p>"), one, F.lit("first</p></sec><sec><p>"), F.repeat(one, (n % 3 + 1).cast("int")), F.lit("</p><p>"), escaped, F.lit("</p></sec><sec><p>"), other, F.lit("<italic>none</italic></p></sec>"))
+    xml = F.concat(F.lit("<article><front>"), other, F.lit("</front><body>"), sections, F.lit("</body><back>"), one, F.lit("</back></article>"))
+    found = papers.gene_mentions(docs.select("doc_id", xml.alias("xml")), GENES, ["gene7"], "doc_id")
+    summed = found.groupBy("doc_id", "gene").agg(F.sum("n").alias("n"), F.sum("of_genes").alias("of_genes"))
+    return summed.select("doc_id", "gene", "n", F.round("of_genes", 9).alias("of_genes"))
 
 
 @query("streaming A02", "SELECT DISTINCT event_id, user_id, event_type FROM events WHERE event_type = 'purchase'")

@@ -43,16 +43,21 @@ def antibody_notes(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id").join(notes, "doc_id", "left").select("doc_id", "note", F.col("note").isNull().alias("negated"))
 
 
-@query("G16 G18 D15", r"""
-SELECT * FROM (VALUES (1, 'anti-PDR-1'), (2, NULL), (3, NULL), (4, 'anti-C. elegans'), (5, 'anti-MSP'), (6, 'raised antibody'), (7, 'preparation antibodies'), (8, 'MH46'), (9, 'a-SP56'), (10, NULL), (11, 'anti-PDR-1')) t(id, note)""")
+ANTIBODY_CASES = [
+    ("We used anti-PDR-1 serum.", "anti-PDR-1"), ("We used anti-pdr-1 serum.", None), ("We used anti-PDI serum.", None), ("An anti-C. elegans serum.", "anti-C. elegans"), ("Stained by anti-MSP.", "anti-MSP"),
+    ("We raised an antibody.", "raised antibody"), ("Antibodies in this preparation ", "preparation antibodies"), ("Stained with MH46.", "MH46"), ("Then a-SP56, too", "a-SP56"), ("A commercial antibody was bought.", None),
+    ("We used anti–PDR-1 serum.", "anti-PDR-1"), ("Raised antibody, anti-UNC-54.", "anti-UNC-54, raised antibody"),
+]
+
+
+@query("G16 G18 D15", "SELECT doc_id, note FROM documents JOIN (VALUES " + ", ".join(f"({i}, {'NULL' if n is None else repr(n)})" for i, (_, n) in enumerate(ANTIBODY_CASES)) + f") c(id, note) ON doc_id % {len(ANTIBODY_CASES)} = id")
 def antibody_rule_cases(spark: SparkSession, sf: str) -> DataFrame:
-    cases = [
-        (1, "We used anti-PDR-1 serum."), (2, "We used anti-pdr-1 serum."), (3, "We used anti-PDI serum."), (4, "An anti-C. elegans serum."), (5, "Stained by anti-MSP."),
-        (6, "We raised an antibody."), (7, "Antibodies in this preparation "), (8, "Stained with MH46."), (9, "Then a-SP56, too"), (10, "A commercial antibody was bought."), (11, "We used anti–PDR-1 serum."),
-    ]
-    df = spark.createDataFrame(cases, "id int, s string")
-    found = antibody.matches(df, "s", ["pdr-1", "pdi", "unc-54"]).groupBy("id").agg(antibody.note(F.collect_set("match")).alias("note"))
-    return df.select("id").join(found, "id", "left")
+    """The sentences of every document, with a planted one before them."""
+    docs = table(spark, sf, "documents")
+    planted = F.element_at(F.array(*[F.lit(c) for c, _ in ANTIBODY_CASES]), (F.col("doc_id") % len(ANTIBODY_CASES) + 1).cast("int"))
+    each = docs.select("doc_id", F.explode(F.concat(F.array(planted), text.sentences(F.coalesce("text", F.lit(""))))).alias("s"))
+    found = antibody.matches(each, "s", ["pdr-1", "pdi", "unc-54"]).groupBy("doc_id").agg(antibody.note(F.collect_set("match")).alias("note"))
+    return docs.select("doc_id").join(found, "doc_id", "left")
 
 
 @query("C12", f"""
@@ -80,10 +85,16 @@ def allele_like_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.array_join(F.array_sort("t"), " ").alias("tokens"))
 
 
-@query("G01", "SELECT * FROM (VALUES (1, 'CB1370'), (2, 'BA(x1)y'), (3, ''), (4, 'A-1_b')) t(id, tokens)")
+STRAINS = ["strain CB1370, wild", "the BA(x1)y line", "plain words 12 only", "of A-1_b."]
+
+
+@query("G01", r"""
+WITH t AS (SELECT doc_id, text || ' ' || ['strain CB1370, wild', 'the BA(x1)y line', 'plain words 12 only', 'of A-1_b.'][doc_id % 4 + 1] AS t FROM documents),
+f AS (SELECT doc_id, list_distinct(regexp_extract_all(t, '[A-Za-z0-9](?:[A-Za-z0-9_-]|\([A-Za-z0-9]+\))*')) AS f FROM t)
+SELECT doc_id, array_to_string(list_sort([x for x in f if regexp_matches(x, '[A-Za-z]') and regexp_matches(x, '[0-9]')]), ' ') AS tokens FROM f""")
 def strain_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    df = spark.createDataFrame([(1, "strain CB1370, wild"), (2, "the BA(x1)y line"), (3, "plain words 12 only"), (4, "of A-1_b.")], "id int, s string")
-    return df.select("id", F.array_join(text.strain_tokens(F.col("s")), " ").alias("tokens"))
+    own = F.element_at(F.array(*map(F.lit, STRAINS)), (F.col("doc_id") % 4 + 1).cast("int"))
+    return table(spark, sf, "documents").select("doc_id", F.array_join(F.array_sort(text.strain_tokens(F.concat_ws(" ", "text", own))), " ").alias("tokens"))
 
 
 MINED = r"""list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(text, '[A-Za-z0-9_.\-]+'), lambda t: regexp_replace(t, '^[._\-]+|[._\-]+$', '', 'g')),
@@ -221,31 +232,44 @@ def token_id_encoding(spark: SparkSession, sf: str) -> DataFrame:
     return dictionary.token_ids(items)
 
 
-@query("G10 G13 G14 G11", """
-SELECT * FROM (VALUES ('c. elegans', 'Caenorhabditis elegans'), ('c.elegans', 'Caenorhabditis elegans'), ('c elegans', 'Caenorhabditis elegans'), ('caenorhabditis elegans', 'Caenorhabditis elegans'),
-('mouse', 'Mus musculus'), ('s.cerevisiae', 'Saccharomyces cerevisiae S288C'), ('s.cerevisiae s288c', 'Saccharomyces cerevisiae S288C'), ('budding yeast', 'Saccharomyces cerevisiae S288C')) t(alias, canonical)""")
+COMMON = ", ".join(f"({a!r}, {c!r})" for a, c in species.COMMON_NAMES.items())
+
+
+@query("G10 G13 G14 G11", f"""
+WITH n AS (SELECT DISTINCT upper(p_name[1]) || p_name[2:] || CASE WHEN p_partkey % 3 = 0 THEN ' ' || lower(p_type) ELSE '' END AS c FROM part), w AS (SELECT c, string_split(c, ' ') AS w FROM n),
+a AS (SELECT c, unnest([c] || CASE WHEN len(w) > 1 THEN [c[1] || '. ' || array_to_string(w[2:], ' '), c[1] || '.' || w[2], c[1] || ' ' || array_to_string(w[2:], ' '), c[1] || '.' || array_to_string(w[2:], ' ')] ELSE [] END) AS alias FROM w)
+SELECT alias, coalesce(max(common), max(c)) AS canonical FROM (SELECT lower(alias) AS alias, c, NULL AS common FROM a UNION ALL SELECT alias, NULL, c FROM (VALUES {COMMON}) t(alias, c)) GROUP BY 1""")
 def species_aliases(spark: SparkSession, sf: str) -> DataFrame:
-    names = spark.createDataFrame([("Caenorhabditis elegans",), ("Saccharomyces cerevisiae S288C",), ("Mus",)], "name string")
-    wanted = ["c. elegans", "c.elegans", "c elegans", "caenorhabditis elegans", "mouse", "s.cerevisiae", "s.cerevisiae s288c", "budding yeast"]
-    return species.alias_table(names).where(F.col("alias").isin(wanted))
+    """The names of all parts as binomials, some of three words, with their aliases and the common names."""
+    part = table(spark, sf, "part")
+    kind = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit(" "), F.lower("p_type"))).otherwise("")
+    names = part.select(F.concat(F.upper(F.substring("p_name", 1, 1)), F.substring("p_name", 2, 100), kind).alias("name")).distinct()
+    return species.alias_table(names)
 
 
-@query("G04 G09 G12 G13", "SELECT * FROM (VALUES (1, 'Caenorhabditis elegans and Mus musculus'), (2, 'in Danio rerio'), (3, 'No ratio here')) t(id, text)")
+@query("G04 G09 G12 G13", """
+SELECT doc_id, 'Paper ' || doc_id || ' on Caenorhabditis elegans and Mus musculus, ' || ['in Danio rerio', 'no ratio', 'Schizosaccharomyces pombe: 5 fi'][doc_id % 3 + 1] AS text, 'Caenorhabditis elegans and' AS named FROM documents""")
 def species_normalised(spark: SparkSession, sf: str) -> DataFrame:
-    df = spark.createDataFrame([(1, "C.</hi> elegans and  Mouse"), (2, "in zebrafish"), (3, "No ratio here")], "id int, text string")
-    replaced = species.replace_aliases(df, "text", species.COMMON_NAMES)
-    return replaced.withColumn("text", species.expand_abbreviations(F.col("text")))
+    """A sentence about every document with abbreviations, markup, odd spaces, ligatures and common names."""
+    other = F.element_at(F.array(*map(F.lit, ("in zebrafish", "no\u00a0ratio", "fission-yeast: 5 \ufb01"))), (F.col("doc_id") % 3 + 1).cast("int"))
+    own = F.concat(F.lit("Paper\u2009"), F.col("doc_id").cast("string"), F.lit(" on C.</hi> elegans and \n Mouse, "), other)
+    replaced = species.replace_aliases(table(spark, sf, "documents").select("doc_id", own.alias("text")), "text", species.COMMON_NAMES)
+    whole = replaced.withColumn("text", species.expand_abbreviations(F.col("text")))
+    return whole.withColumn("named", F.get(text.distinct_runs(F.col("text"), text.SPECIES_NAME), F.lit(0)))
 
 
 @query("G19 G20 G21 G23 G24 G25", """
-SELECT 'AGRKB_101' AS file, 'AGRKB:101' AS curie, '6239' AS taxon, 'a1,b' AS names, 'big world' AS words, 'play ing' AS pieces, substr(sha1('["a", "b"]'), 1, 16) AS key""")
+SELECT event_id, 'AGRKB_' || event_id AS file, 'AGRKB:' || event_id AS curie, CAST(user_id AS VARCHAR) AS taxon, event_type || ',b' || user_id AS names, 'big ' || event_type || ' world' AS words, event_type || 'ing word' || event_id AS pieces,
+substr(sha1('["' || event_type || '", "x' || user_id || '"]'), 1, 16) AS key FROM events""")
 def small_string_functions(spark: SparkSession, sf: str) -> DataFrame:
-    df = spark.createDataFrame([("AGRKB:101", "NCBITaxon:6239", ["a1..", "a1", "b."], "The big the World the")], "curie string, taxon string, names array<string>, words string")
-    pieces = text.merged_pieces(F.array(*map(F.lit, ("pl", "##ay", "ing"))))
-    return df.select(
-        text.file_name(F.col("curie")).alias("file"), text.curie_of(text.file_name(F.col("curie"))).alias("curie"), text.taxon_id(F.col("taxon")).alias("taxon"),
-        F.array_join(text.without_trailing_dots(F.col("names")), ",").alias("names"), text.without_stop_words(F.col("words"), ["the", "The"]).alias("words"),
-        F.array_join(pieces, " ").alias("pieces"), text.cache_key(F.array(F.lit("b"), F.lit("a"), F.lit("b"))).alias("key"),
+    n, user = F.col("event_id").cast("string"), F.col("user_id").cast("string")
+    joined = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    kind, curie = F.col("event_type"), joined("AGRKB:", n)
+    pieces = text.merged_pieces(F.array(kind, F.lit("##ing"), F.lit("word"), joined("##", n)))
+    return table(spark, sf, "events").select(
+        "event_id", text.file_name(curie).alias("file"), text.curie_of(text.file_name(curie)).alias("curie"), text.taxon_id(joined("NCBITaxon:", user)).alias("taxon"),
+        F.array_join(text.without_trailing_dots(F.array(joined(kind, ".."), kind, joined("b", user, "."), F.lit("..."))), ",").alias("names"), text.without_stop_words(joined("The Big the ", F.upper(kind), " World the"), ["the", "The"]).alias("words"),
+        F.array_join(pieces, " ").alias("pieces"), text.cache_key(F.array(joined("x", user), kind, joined("x", user))).alias("key"),
     )
 
 

@@ -98,6 +98,24 @@ def gene_synonyms(rows: DataFrame) -> DataFrame:
     return first_wins(flat, ["name"], [F.desc("priority"), F.desc("seq"), "gene"]).select("name", "gene")
 
 
+def paired_ids(rows: DataFrame, key: str = "PMID", value: str = "PMCID", order: str | None = None) -> DataFrame:
+    """key, value of the rows that have both; of several rows of a key the last one by ``order`` counts."""
+    own = rows.select(F.trim(key).alias(key), F.trim(value).alias(value), *([order] if order else [])).where((F.col(key) != "") & (F.col(value) != ""))
+    return first_wins(own, [key], [F.desc(order or value)]).select(key, value)
+
+
+def dataset_entries(rows: DataFrame, curie: str = "curie", category: str = "classification") -> DataFrame:
+    """curie, classification of a data set's lines: trimmed, the category in lower case; lines without either are left out."""
+    own = rows.select(F.trim(curie).alias("curie"), F.lower(F.trim(category)).alias("classification"))
+    return own.where("curie <> '' and classification <> ''").distinct()
+
+
+def with_names(ids: DataFrame, names: DataFrame, key: str = "curie", name: str = "name") -> DataFrame:
+    """``ids`` with the name of each, or the id itself; of several names the first in order counts."""
+    known = names.groupBy(F.col(key).alias("__key")).agg(F.min(name).alias("__name"))
+    return ids.join(known, F.col(key) == F.col("__key"), "left").select(*ids.columns, F.coalesce("__name", key).alias(name))
+
+
 def curies(lines: DataFrame, prefix: str | None = None, line: str = "value") -> DataFrame:
     own = lines.select(F.trim(line).alias("curie")).where("curie <> ''")
     return own.where(F.col("curie").startswith(prefix)) if prefix else own
