@@ -85,14 +85,24 @@ def rough(x: np.ndarray, y: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray,
     return made, own, (x.shape[1] + 8) * 2.4e-7 * float(own.max(initial=0) + other.max(initial=0))
 
 
-def near_rows(x: np.ndarray, reach: np.ndarray, own: np.ndarray, y: np.ndarray, ids: np.ndarray, k: int, p: int, others: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def without_own(power: np.ndarray, own: np.ndarray, ids: np.ndarray, apart: int) -> None:
+    """Infinite distances between queries and rows whose ids are equal but for the lowest ``apart`` bits."""
+    if apart:
+        own, ids = own >> apart, ids >> apart
+        for group in np.unique(own):
+            power[np.ix_(own == group, ids == group)] = np.inf
+        return
+    order = np.argsort(ids)
+    at = np.minimum(np.searchsorted(ids, own, sorter=order), len(ids) - 1)
+    same = np.flatnonzero(ids[order[at]] == own)
+    power[same, order[at[same]]] = np.inf
+
+
+def near_rows(x: np.ndarray, reach: np.ndarray, own: np.ndarray, y: np.ndarray, ids: np.ndarray, k: int, p: int, apart: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, row, distance) of the k rows nearest to each query, within its reach, in order of query, distance and id."""
     power, summand, slack = rough(x, y, p)
-    if others:
-        order = np.argsort(ids)
-        at = np.minimum(np.searchsorted(ids, own, sorter=order), len(ids) - 1)
-        same = np.flatnonzero(ids[order[at]] == own)
-        power[same, order[at[same]]] = np.inf
+    if apart is not None:
+        without_own(power, own, ids, apart)
     limit = reach**p - summand
     loose = np.flatnonzero(~np.isfinite(reach))
     if len(loose):
@@ -172,7 +182,7 @@ class CellIndex(NamedTuple):
 
         return queries.mapInArrow(run, shape)
 
-    def met(self, visits: DataFrame, k: int, others: bool) -> DataFrame:
+    def met(self, visits: DataFrame, k: int, apart: int | None) -> DataFrame:
         """__id, near: up to k rows of each part of each cell that a query visits."""
         spark, most = visits.sparkSession, part_rows(self.centers.shape[1])
         each = visits.select("__id", "v", "reach", F.explode("cells").alias("cell"))
@@ -191,7 +201,7 @@ class CellIndex(NamedTuple):
                 x, reach, y, ids, ys = matrix(a["v"]), a["reach"].to_numpy().astype(float), matrix(b["v"]), b["__id"].to_numpy(), b["y"].to_numpy()
                 reach = np.where(np.isnan(reach), np.inf, reach)
                 for at in range(0, len(own), STEP):
-                    query, row, d = near_rows(x[at : at + STEP], reach[at : at + STEP], own[at : at + STEP], y, ids, k, p, others)
+                    query, row, d = near_rows(x[at : at + STEP], reach[at : at + STEP], own[at : at + STEP], y, ids, k, p, apart)
                     found = pa.StructArray.from_arrays([pa.array(d, pa.float64()), pa.array(ids[row], pa.int64()), pa.array(ys[row], pa.int64())], names=["d", "i", "y"])
                     steps = np.searchsorted(query, np.arange(min(STEP, len(own) - at) + 1))
                     lists.append(pa.ListArray.from_arrays(pa.array(steps, pa.int32()), found))
@@ -201,21 +211,22 @@ class CellIndex(NamedTuple):
 
         return left.groupBy("cell", "a", "b").cogroup(right.groupBy("cell", "a", "b")).applyInArrow(run, f"__id long, near {NEAR}").where(F.size("near") > 0)
 
-    def nearest(self, queries: DataFrame, k: int, *, exact: bool = True, probes: int = 1, others: bool = False) -> DataFrame:
+    def nearest(self, queries: DataFrame, k: int, *, exact: bool = True, probes: int = 1, apart: int | None = None) -> DataFrame:
         """__id, near: the k nearest rows as (d, i, y) of each query (__id long, v array<double>), by distance, then id.
 
-        ``others``: a row with the query's own id doesn't count. Queries whose
-        cells hold no row but themselves are left out.
+        ``apart``: rows don't count whose id is the query's, but for so many of
+        the lowest bits (0: the query's own row). Queries that no row counts
+        for are left out.
         """
         best = F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k)
         asked = queries.select("__id", "v", F.lit(None).cast("double").alias("reach"))
-        first = stored(self.met(stored(self.visits(asked, k, probes), "visits"), k, others).groupBy("__id").agg(best.alias("near")), "near")
+        first = stored(self.met(stored(self.visits(asked, k, probes), "visits"), k, apart).groupBy("__id").agg(best.alias("near")), "near")
         if not exact:
             return first
         bound = first.select("__id", F.when(F.size("near") >= k, F.element_at("near", -1)["d"]).otherwise(F.lit(float("inf"))).alias("reach"))
         again = queries.select("__id", "v").join(bound, "__id", "left").withColumn("reach", F.coalesce("reach", F.lit(float("inf"))))
         rest = stored(self.visits(again, k, probes).where(F.size("cells") > 0), "visits")
-        return first.union(self.met(rest, k, others)).groupBy("__id").agg(best.alias("near"))
+        return first.union(self.met(rest, k, apart)).groupBy("__id").agg(best.alias("near"))
 
 
 def local_outlier_factors(rows: DataFrame, k: int = 20, cell_rows: int | None = None) -> DataFrame:
@@ -223,7 +234,7 @@ def local_outlier_factors(rows: DataFrame, k: int = 20, cell_rows: int | None =
     index = CellIndex.build(rows.withColumn("y", F.lit(0).cast("long")), cell_rows=cell_rows)
     if index is None:
         return rows.select("__id", F.lit(1.0).alias("lof"))
-    near = stored(index.nearest(rows, k, others=True))
+    near = stored(index.nearest(rows, k, apart=0))
     reach = near.select(F.col("__id").alias("i"), F.element_at("near", -1)["d"].alias("reach"))
     pairs = near.select("__id", F.inline("near"))
     dense = stored(pairs.join(reach, "i").groupBy("__id").agg((1 / (F.avg(F.greatest("d", "reach")) + 1e-10)).alias("density")))

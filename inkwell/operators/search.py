@@ -7,7 +7,7 @@ held out from the start. The family with the best penalised score is chosen.
 
 All linear families, kernel ones on their feature maps included, are trained
 in bulk: their settings and folds share the same passes over the rows. All
-nearest-neighbour settings share one search for each distance and fold. The
+nearest-neighbour settings share one search for each distance. The
 other families are fitted one by one, ``SEARCH_JOBS`` at a time, as wide rows
 make each fit large. On wide features the families that don't suit them are
 passed over.
@@ -186,36 +186,40 @@ def linear_searches(rows: Rows, settings: dict[str, list[Space]], steps: int) ->
     return out
 
 
-def neighbour_scores(near: DataFrame, label: DataFrame, settings: list[Space]) -> np.ndarray:
-    """F1 of each setting from each row's nearest neighbours, in one pass."""
+def neighbour_scores(near: DataFrame, label: DataFrame, settings: list[Space], folds: list[int]) -> np.ndarray:
+    """[setting, fold] F1 from each row's nearest neighbours, in one pass."""
     counted = []
     for i, s in enumerate(settings):
-        first = F.slice("near", 1, s["n_neighbors"])
-        positive = neighbours.votes(first, 2, s["weights"])[1] >= 0.5
+        positive = neighbours.votes(F.slice("near", 1, s["n_neighbors"]), 2, s["weights"])[1] >= 0.5
         true = F.col("label") == 1
         counted += [F.count_if(positive & true).alias(f"a{i}"), F.count_if(positive & ~true).alias(f"b{i}"), F.count_if(~positive & true).alias(f"c{i}")]
-    found = near.join(label, "__id").agg(*counted).first()
-    return linear.f1_of(np.array([[found[f"{c}{i}"] for c in "abc"] for i in range(len(settings))], dtype=float))
-
-
-def neighbour_search(rows: Rows, family: str, settings: list[Space], jobs: int) -> Score:
-    """One search for each distance and fold, for as many neighbours as any setting asks for."""
-    numbered = stored(rows.data.select("x", "label", "fold").withColumn("__id", F.monotonically_increasing_id()), "numbered")
-    most = max(s["n_neighbors"] for s in settings)
-
-    def searched(p: int, out: int) -> DataFrame:
-        index = numbered.where((F.col("fold") != out) & (F.col("fold") != linear.HELD)).select("__id", F.col("x").alias("v"), F.col("label").cast("long").alias("y"))
-        asked = numbered.where(F.col("fold") == out).select("__id", F.col("x").alias("v"))
-        return stored(neighbours.CellIndex.build(index, p).nearest(asked, most), "near")
-
-    scores = np.zeros((len(settings), len(rows.folds)))
-    cases = [(p, fold) for p in sorted({s["p"] for s in settings}) for fold in rows.folds]
-    with ThreadPoolExecutor(jobs) as pool:
-        for (p, fold), near in zip(cases, pool.map(lambda c: searched(*c), cases), strict=True):
-            own = [i for i, s in enumerate(settings) if s["p"] == p]
-            scores[own, fold] = neighbour_scores(near, numbered.select("__id", "label"), [settings[i] for i in own])
+    fold = (F.shiftright("__id", ID_BITS) - 1).alias("fold")
+    found = {r["fold"]: r for r in near.join(label, "__id").groupBy(fold).agg(*counted).collect()}  # a row for each fold
+    none = dict.fromkeys((f"{c}{i}" for c in "abc" for i in range(len(settings))), 0)
+    return np.array([linear.f1_of(np.array([[found.get(k, none)[f"{c}{i}"] for c in "abc"] for k in folds], dtype=float)) for i in range(len(settings))])
+
+
+#: Ids of rows within a fold, in bits; a fold's number stands above them.
+ID_BITS = 40
+
+
+def neighbour_search(rows: Rows, family: str, settings: list[Space]) -> Score:
+    """One search for each distance, in which a row's own fold doesn't count, for as many neighbours as any setting asks for."""
+    fold = F.shiftleft(F.col("fold").cast("long") + 1, ID_BITS)
+    spread = F.monotonically_increasing_id()
+    # Partitions take the upper bits of these numbers: with fewer than 2^7 of them, and 2^33 rows in each, the numbers fit below the fold's.
+    numbered = stored(rows.data.select("x", "label", "fold").coalesce(100).withColumn("__id", fold.bitwiseOR(spread)), "numbered")
+    most, labels = max(s["n_neighbors"] for s in settings), numbered.select("__id", "label")
+    training = numbered.where(F.col("fold") != linear.HELD).select("__id", F.col("x").alias("v"), F.col("label").cast("long").alias("y"))
+    scores, indexes = np.zeros((len(settings), len(rows.folds))), {}
+    for p in sorted({s["p"] for s in settings}):
+        indexes[p] = neighbours.CellIndex.build(training, p)
+        near = stored(indexes[p].nearest(training.select("__id", "v"), most, apart=ID_BITS), "near")
+        own = [i for i, s in enumerate(settings) if s["p"] == p]
+        scores[own] = neighbour_scores(near, labels, [settings[i] for i in own], rows.folds)
     best = settings[best_of(scores)]
-    test = neighbour_scores(searched(best["p"], linear.HELD), numbered.select("__id", "label"), [best])[0]
+    held = numbered.where(F.col("fold") == linear.HELD).select("__id", F.col("x").alias("v"))
+    test = neighbour_scores(indexes[best["p"]].nearest(held, most), labels, [best], [linear.HELD])[0, 0]
     make = partial(neighbours.NearestNeighboursClassifier, k=best["n_neighbors"], weights=best["weights"], p=best["p"])
     return Score(family, best, scores[best_of(scores)].tolist(), float(test), lambda: make().fit(rows.training))
 
@@ -301,7 +305,7 @@ def random_search(data: DataFrame, key: str, families: list[str] | None = None,
     if of("linear", "kernel"):
         out += linear_searches(rows, of("linear", "kernel"), steps)
     for family, own in of("neighbours").items():
-        out.append(neighbour_search(rows, family, own, jobs))
+        out.append(neighbour_search(rows, family, own))
     if fitted := of("tree", "forest", "boosted", "perceptron"):
         out += fitted_searches(rows, fitted, jobs)
     out.sort(key=lambda s: (-s.penalised, families.index(s.family)))

@@ -181,7 +181,7 @@ def classify_by_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     """Every row by the votes of the nine others nearest to it."""
     rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("__id"), F.col("embedding").cast("array<double>").alias("v"), F.when(F.col("label") < 5, 1).otherwise(0).cast("long").alias("y"))
     index = neighbours.CellIndex.build(rows)
-    near = index.nearest(rows, 9, others=True)
+    near = index.nearest(rows, 9, apart=0)
     score = neighbours.votes(F.col("near"), 2)[1]
     voted = near.select(F.col("__id").alias("vec_id"), score.alias("score"))
     return rows.select(F.col("__id").alias("vec_id"), F.col("y").cast("int").alias("label")).join(voted, "vec_id").select("vec_id", "label", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.round("score", 6).alias("score"))
@@ -204,17 +204,26 @@ def classify_priorities(spark: SparkSession, sf: str) -> DataFrame:
     return ml.predict_class(found.model, data).select("vec_id", "label", "predicted", F.round("score", 6).alias("score"))
 
 
-#: Families whose searches share their passes or fits quickly; the trees of the others take a job for each level and tree.
-SEARCHED = ["LogisticRegression", "LinearSVC", "SVC", "DecisionTreeClassifier", "KNeighborsClassifier", "SGDClassifier"]
+#: Families whose settings and folds share their passes; those of trees take jobs for each setting and fold.
+SEARCHED, TREES = ["LogisticRegression", "LinearSVC", "SVC", "KNeighborsClassifier", "SGDClassifier"], ["DecisionTreeClassifier"]
 
 
-@query("H05 H06 H08 H09 H10 F05")
-def model_selection(spark: SparkSession, sf: str) -> DataFrame:
-    scores = search.random_search(vector_data(spark, sf), "vec_id", SEARCHED)
+def searched(spark: SparkSession, sf: str, families: list[str]) -> DataFrame:
+    scores = search.random_search(vector_data(spark, sf), "vec_id", families)
     rows = [(s.family, str(s.settings), s.cv, float(np.std(s.folds)), s.test, s.cv - s.test, s.penalised, rank) for rank, s in enumerate(scores, 1)]
     return spark.createDataFrame(rows, "family string, settings string, cv_mean double, cv_std double, test double, gap double, score double, rank int")
 
 
+@query("H05 H06 H08 H09 H10 F05")
+def model_selection(spark: SparkSession, sf: str) -> DataFrame:
+    return searched(spark, sf, SEARCHED)
+
+
+@query("H06")
+def tree_selection(spark: SparkSession, sf: str) -> DataFrame:
+    return searched(spark, sf, TREES)
+
+
 @query("H03")
 def outlier_removal(spark: SparkSession, sf: str) -> DataFrame:
     data = vector_data(spark, sf)

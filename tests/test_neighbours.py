@@ -42,7 +42,7 @@ def test_exact_searches_equal_all_distances(spark, points, monkeypatch, p, cell_
     rows = frame(spark, x, ids)
     index = neighbours.CellIndex.build(rows, p, cell_rows)
     assert len(index.centers) == -(-900 // cell_rows) and index.counts.sum() == 900
-    found = {r["__id"]: [(n.i, n.d) for n in r.near] for r in index.nearest(rows, 12, others=True).collect()}
+    found = {r["__id"]: [(n.i, n.d) for n in r.near] for r in index.nearest(rows, 12, apart=0).collect()}
     expected = plain(x, ids, 12, p)
     assert {k: [i for i, _ in v] for k, v in found.items()} == {k: [i for i, _ in v] for k, v in expected.items()}
     assert all(np.allclose([d for _, d in v], [d for _, d in expected[k]]) for k, v in found.items())
@@ -57,7 +57,7 @@ def test_other_queries_and_few_rows(spark):
     assert neighbours.CellIndex.build(frame(spark, x[:0], ids[:0])) is None
     assert index.nearest(frame(spark, asked[:0], ids[:0]), 3).count() == 0
     alone = frame(spark, x[:1], ids[:1])
-    assert neighbours.CellIndex.build(alone).nearest(alone, 3, others=True).count() == 0
+    assert neighbours.CellIndex.build(alone).nearest(alone, 3, apart=0).count() == 0
 
 
 def test_recall_of_approximate_searches(spark, points):
@@ -65,10 +65,22 @@ def test_recall_of_approximate_searches(spark, points):
     rows = frame(spark, x, ids)
     index = neighbours.CellIndex.build(rows, cell_rows=40)
     expected = plain(x, ids, 10, 2)
-    found = {r["__id"]: {n.i for n in r.near} for r in index.nearest(rows, 10, exact=False, probes=8, others=True).collect()}
+    found = {r["__id"]: {n.i for n in r.near} for r in index.nearest(rows, 10, exact=False, probes=8, apart=0).collect()}
     assert np.mean([len(found[k] & {i for i, _ in v}) / 10 for k, v in expected.items()]) >= 0.9
 
 
+def test_groups_of_ids_stay_apart(spark, points):
+    x, _ = points
+    ids = (np.arange(900) % 4 << 20) + np.arange(900)
+    rows = frame(spark, x, ids)
+    index = neighbours.CellIndex.build(rows, cell_rows=100)
+    found = {r["__id"]: [n.i for n in r.near] for r in index.nearest(rows, 6, apart=20).collect()}
+    for group in range(4):
+        own = ids >> 20 == group
+        expected = plain(x[~own], ids[~own], 6, 2, x[own], ids[own])
+        assert {k: [i for i, _ in v] for k, v in expected.items()} == {k: found[k] for k in expected}
+
+
 def test_far_cells_are_not_visited(spark):
     rng = np.random.default_rng(1)
     x = np.concatenate([rng.normal(size=(100, 4)) + 1000 * c for c in range(10)])

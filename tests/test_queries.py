@@ -13,7 +13,7 @@ from inkwell.plans import catalog, registry
 from .conftest import SF
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SLOW = {"model_selection", "outlier_removal"}
+SLOW = {"model_selection", "tree_selection", "outlier_removal"}
 
 
 @pytest.fixture(scope="module")
