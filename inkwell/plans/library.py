@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkwell.functions import text
 from inkwell.operators import ml, references, taxonomy
+from inkwell.operators.sums import matrix
 from inkwell.plans.catalog import query
 from inkwell.plans.models import vector_data
 from inkwell.sources import models as stored_models
@@ -167,6 +171,24 @@ def word_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return vec.select("word", F.round(F.col("vec")[0].cast("double"), 5).alias("first"), F.round(F.col("vec")[63].cast("double"), 5).alias("last"), F.size("vec").alias("dim"))
 
 
+@query("A21", "SELECT CAST(vec_id AS VARCHAR) AS word, round(list_sum(embedding)::DOUBLE, 4) + 0.0 AS total, round(embedding[64]::DOUBLE, 5) AS last, len(embedding)::INTEGER AS dim FROM embeddings")
+def binary_word_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """All vectors in word2vec's binary form, a thousand or fewer a file, written and parsed again."""
+
+    def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 1000):
+                piece = batch.slice(k, 1000)
+                whole = papers.as_binary_vectors(list(map(str, piece.column("vec_id").to_pylist())), matrix(piece.column("embedding")))
+                yield pa.RecordBatch.from_arrays([pa.array([whole], pa.binary())], names=["content"])
+
+    path = shared_folder(spark, "binary-vectors")
+    table(spark, sf, "embeddings").select("vec_id", "embedding").mapInArrow(files, "content binary").write.parquet(path)
+    vec = papers.binary_vectors(spark.read.parquet(path))
+    total = F.aggregate("vec", F.lit(0.0), lambda t, x: t + x.cast("double"))
+    return vec.select("word", (F.round(total, 4) + 0.0).alias("total"), F.round(F.col("vec")[63].cast("double"), 5).alias("last"), F.size("vec").alias("dim"))
+
+
 TREE = """found AS (SELECT 'R' || n_regionkey AS parent, 'N' || n_nationkey AS child FROM nation), baked AS (SELECT 'N' || c_nationkey AS parent, 'C' || c_custkey AS child FROM customer)"""
 
 
@@ -190,7 +212,7 @@ def tree(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]
     return found, customer.select(name("N", "c_nationkey").alias("parent"), name("C", "c_custkey").alias("child")), curated
 
 
-@query("A34", """
+@query("A34 F18 F19", """
 SELECT c_custkey AS taxid, CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE 1 END AS source, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_nationkey + 10 END::BIGINT AS parent_tid,
 CASE WHEN c_custkey % 3 = 0 THEN '9,5,1' ELSE (c_nationkey + 10) || ',1,5' END AS parents, CASE WHEN c_custkey % 3 = 0 THEN '' WHEN c_custkey % 2 = 0 THEN '77,88' ELSE '88' END AS ranks FROM customer""")
 def lineage_records(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,11 +60,22 @@ def valid_embedding_gate(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.with_missing_as_zero(table(spark, sf, "documents").select("doc_id"), vecs, "doc_id", "embedding", DIM).select("doc_id", "valid")
 
 
-@query("E20 B13")
+@query("E20", "SELECT lang, string_agg(DISTINCT source, ',' ORDER BY source) AS mods, count(DISTINCT source) AS n FROM documents WHERE source IS NOT NULL GROUP BY 1")
 def mod_pivot_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
-    mods = [r[0] for r in docs.select("source").where("source is not null").distinct().orderBy("source").collect()]
-    return docs.groupBy("lang").pivot("source", mods).agg(F.max(F.lit(1))).na.fill(0, mods)
+    """The rows of the 0/1 matrix of languages and sources by the sources that are 1 in them, however many sources there are."""
+    rows = table(spark, sf, "documents").where("source is not null").groupBy("lang", "source").agg(F.lit(1).alias("one"))
+    return rows.groupBy("lang").agg(F.array_join(F.array_sort(F.collect_list("source")), ",").alias("mods"), F.count("*").alias("n"))
+
+
+@query("H01", """
+WITH f AS (SELECT vec_id, list_concat([CAST(label AS DOUBLE)], embedding::DOUBLE[], [CAST(vec_id % 7 AS DOUBLE)]) AS f FROM embeddings)
+SELECT vec_id, i - 1 AS place, round(f[i], 6) + 0.0 AS value FROM f, range(1, 67) r(i)""")
+def assembled_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Blocks in their given order: a number, an array and another number."""
+    rows = table(spark, sf, "embeddings").select("vec_id", F.col("label").cast("double").alias("label"), "embedding", (F.col("vec_id") % 7).cast("double").alias("last"))
+    whole = ml.features(rows, ["label", "embedding", "last"])
+    placed = whole.select("vec_id", F.posexplode(vector_to_array("features")).alias("place", "value"))
+    return placed.select("vec_id", F.col("place").cast("long").alias("place"), (F.round("value", 6) + 0.0).alias("value"))
 
 
 SETS = """a AS (SELECT o_custkey AS k, list(DISTINCT o_orderpriority) AS s FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1), b AS (SELECT o_custkey AS k, list(DISTINCT o_orderpriority) AS s FROM orders WHERE o_orderkey % 2 = 1 GROUP BY 1)"""
@@ -166,7 +178,7 @@ def vector_data(spark: SparkSession, sf: str) -> DataFrame:
     return ml.features(rows, ["embedding"])
 
 
-@query("H01 H12 C06")
+@query("H12 C06")
 def classify_with_logreg(spark: SparkSession, sf: str) -> DataFrame:
     data = ml.stratified_split(vector_data(spark, sf), "label", "vec_id")
     model = LogisticRegression(regParam=0.01).fit(data.where("not held_out"))

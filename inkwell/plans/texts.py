@@ -318,14 +318,21 @@ def shortest_lineages(spark: SparkSession, sf: str) -> DataFrame:
     return taxonomy.ancestors(part_lineages(spark, sf))
 
 
-@query("F17 F18 F19", f"""
-WITH RECURSIVE e AS ({EDGES}), up(node, ancestor, depth) AS (SELECT child, parent, 1 FROM e UNION ALL SELECT up.node, e.parent, up.depth + 1 FROM up JOIN e ON up.ancestor = e.child)
-SELECT node, ancestor FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY depth, ancestor) AS rn FROM up WHERE ancestor IN ('W', 'R1', 'R2') AND node LIKE 'N%') WHERE rn = 1""")
+@query("F17 F19", f"""
+WITH RECURSIVE e AS ({EDGES}), up(node, ancestor, depth) AS (SELECT child, parent, 1 FROM e UNION ALL SELECT up.node, e.parent, up.depth + 1 FROM up JOIN e ON up.ancestor = e.child),
+l AS (SELECT node, ancestor, 1 AS source, depth FROM up UNION ALL SELECT 'N' || n_nationkey, 'R' || (n_nationkey + 1) % 5, 0, 1 + n_nationkey % 2 FROM nation WHERE n_nationkey % 3 = 0 UNION ALL SELECT 'N' || n_nationkey, 'W', 0, 2 - n_nationkey % 2 FROM nation WHERE n_nationkey % 3 = 0)
+SELECT node, ancestor FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY source, depth, ancestor) AS rn FROM l WHERE ancestor IN ('W', 'R1', 'R2') AND node LIKE 'N%') WHERE rn = 1""")
 def nearest_curated_ancestor(spark: SparkSession, sf: str) -> DataFrame:
-    closure = taxonomy.ancestors(geography(spark, sf)).withColumn("source", F.lit(0))
+    """A provider's parents, where it has any, over those of the closure; of each source the nearest that is curated."""
+    closure = taxonomy.ancestors(geography(spark, sf)).withColumn("source", F.lit(1))
+    n = F.col("n_nationkey")
+    nation = table(spark, sf, "nation").where("n_nationkey % 3 = 0")
+    node = F.concat(F.lit("N"), n.cast("string")).alias("node")
+    first = nation.select(node, F.concat(F.lit("R"), ((n + 1) % 5).cast("string")).alias("ancestor"), (1 + n % 2).cast("int").alias("depth"), F.lit(0).alias("source"))
+    other = nation.select(node, F.lit("W").alias("ancestor"), (2 - n % 2).cast("int").alias("depth"), F.lit(0).alias("source"))
     nodes = closure.where("node like 'N%'").select("node").distinct()
     curated = spark.createDataFrame([("W",), ("R1",), ("R2",)], "curie string")
-    return taxonomy.nearest_curated(nodes, closure, curated)
+    return taxonomy.nearest_curated(nodes, closure.unionByName(first).unionByName(other), curated)
 
 
 @query("E19 F07", r"""

@@ -6,7 +6,9 @@ import re
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -129,6 +131,49 @@ def word_vectors(lines: DataFrame, dim: int, line: str = "value") -> DataFrame:
     return own.select(F.col("__parts")[0].alias("word"), vec.alias("vec")).where(~F.exists("vec", lambda x: x.isNull()))
 
 
+def binary_vectors(files: DataFrame, content: str = "content") -> DataFrame:
+    """word, idx, vec of files in word2vec's binary form, one of which a task holds at a time.
+
+    A file is a line of the number of words and of the dimension, then for each
+    word its bytes, a space and the little-endian floats, with or without a line
+    end before the next. ``idx`` is a word's place in its file, from 0; a file
+    that ends within a word has the words before it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for held in batch.column("content"):
+                words, vectors, dim = parsed_vectors(held.as_py() or b"")
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1) * dim, pa.int32()), pa.array(vectors.ravel(), pa.float32()))
+                for k in range(0, len(words), 10_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(range(len(words)), pa.int64()), lists], names=["word", "idx", "vec"]).slice(k, 10_000)
+
+    return files.select(F.col(content).alias("content")).mapInArrow(run, "word string, idx long, vec array<float>")
+
+
+def parsed_vectors(data: bytes) -> tuple[list[str], np.ndarray, int]:
+    head, _, _ = data.partition(b"\n")
+    sizes = head.split()
+    if len(sizes) != 2 or not all(x.isdigit() for x in sizes):
+        return [], np.zeros((0, 0), dtype=np.float32), 0
+    n, dim = map(int, sizes)
+    words, found, at = [], [], len(head) + 1
+    while len(words) < n:
+        end = data.find(b" ", at)
+        if end < 0 or end + 1 + 4 * dim > len(data):
+            break
+        words.append(data[at:end].lstrip(b"\n").decode(errors="replace"))
+        found.append(np.frombuffer(data, dtype="<f4", count=dim, offset=end + 1))
+        at = end + 1 + 4 * dim
+    return words, np.array(found, dtype=np.float32).reshape(len(words), dim), dim
+
+
+def as_binary_vectors(words: list[str], vectors: np.ndarray) -> bytes:
+    """A file in word2vec's binary form; words have no spaces."""
+    body = b"".join(w.encode() + b" " + v.astype("<f4").tobytes() + b"\n" for w, v in zip(words, vectors, strict=True))
+    return b"%d %d\n" % vectors.shape + body
+
+
 def entity_lists(rows: DataFrame, column: str) -> Column:
     """Upper-case entities of a column of pipe lists, without database prefixes."""
     return F.transform(F.split(column, r"\s*\|\s*"), lambda e: F.upper(F.regexp_replace(e, r"^.*;%;", "")))
