@@ -17,17 +17,28 @@ from inkwell.operators import neighbours, robust
 from inkwell.sources.storage import stored
 
 SEED = 42
+#: A class's shuffled order is cut into two to this many buckets.
+BUCKET_BITS = 8
 FOLDS = 5
 
 
-def with_class_rank(df: DataFrame, label: str, key: str, seed: int = SEED) -> DataFrame:
+def md5_order(key: str, seed: int) -> Column:
+    """The first half of the MD5 of ``key:seed`` as a signed number, which other engines can make, too."""
+    digits = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
+    high, low = (F.conv(F.substring(digits, k, 8), 16, 10).cast("long") for k in (1, 9))
+    return F.shiftleft(high, 32).bitwiseOR(low)
+
+
+def with_class_rank(df: DataFrame, label: str, key: str, seed: int = SEED, order: Column | None = None) -> DataFrame:
     """``df`` with ``__r``, a row's place in a shuffled order of its class from 1 (a function of key and seed), and ``__n``, the class's size.
 
-    The order is that of the MD5 of ``key:seed`` and, for equal ones, the key;
-    its first two digits cut each class into buckets: rows are ranked within a
-    bucket, after the buckets before it, so no task holds a class.
+    The order is that of a hash (``order``, a long, if given) and, where it is
+    equal, of the key. The hash's high bits cut each class into buckets: rows
+    are ranked within a bucket, after the buckets before it, so no task holds a
+    class.
     """
-    drawn = df.withColumn("__h", F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))).withColumn("__b", F.substring("__h", 1, 2))
+    hashed = F.xxhash64(key, F.lit(seed)) if order is None else order
+    drawn = df.withColumn("__h", hashed).withColumn("__b", F.shiftright("__h", 64 - BUCKET_BITS).cast("int"))
     sizes = drawn.groupBy(label, "__b").agg(F.count("*").alias("__size"))
     own = Window.partitionBy(label)
     before = own.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
@@ -41,17 +52,17 @@ def with_class_rank(df: DataFrame, label: str, key: str, seed: int = SEED) -> Da
 
 def stratified_split(df: DataFrame, label: str, key: str, share: float = 0.2, seed: int = SEED) -> DataFrame:
     """``df`` with ``held_out``: about ``share`` of each class."""
-    return with_class_rank(df, label, key, seed).withColumn("held_out", F.col("__r") <= F.round(F.col("__n") * share)).drop("__r", "__n")
+    return with_class_rank(df, label, key, seed, md5_order(key, seed)).withColumn("held_out", F.col("__r") <= F.round(F.col("__n") * share)).drop("__r", "__n")
 
 
 def folds(df: DataFrame, label: str, key: str, k: int = FOLDS, seed: int = SEED) -> DataFrame:
-    return with_class_rank(df, label, key, seed).withColumn("fold", ((F.col("__r") - 1) % k).cast("int")).drop("__r", "__n")
+    return with_class_rank(df, label, key, seed, md5_order(key, seed)).withColumn("fold", ((F.col("__r") - 1) % k).cast("int")).drop("__r", "__n")
 
 
 def undersampled(df: DataFrame, label: str, key: str, large: Any, like: Any, seed: int = SEED) -> DataFrame:
     """At most as many rows of class ``large`` as class ``like`` has."""
     counts = df.where(F.col(label) == F.lit(like)).agg(F.count("*").alias("__most"))
-    ranked = with_class_rank(df, label, key, seed).crossJoin(F.broadcast(counts))  # one row
+    ranked = with_class_rank(df, label, key, seed, md5_order(key, seed)).crossJoin(F.broadcast(counts))  # one row
     return ranked.where((F.col(label) != F.lit(large)) | (F.col("__r") <= F.col("__most"))).drop("__r", "__n", "__most")
 
 

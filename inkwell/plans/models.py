@@ -60,8 +60,16 @@ def valid_embedding_gate(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.with_missing_as_zero(table(spark, sf, "documents").select("doc_id"), vecs, "doc_id", "embedding", DIM).select("doc_id", "valid")
 
 
-@query("E20", "SELECT lang, string_agg(DISTINCT source, ',' ORDER BY source) AS mods, count(DISTINCT source) AS n FROM documents WHERE source IS NOT NULL GROUP BY 1")
+@query("E20 B13")
 def mod_pivot_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    """A column for each source, for reports on few of them; ``sparse_mod_matrix`` takes any number."""
+    docs = table(spark, sf, "documents")
+    mods = [r[0] for r in docs.select("source").where("source is not null").distinct().orderBy("source").collect()]
+    return docs.groupBy("lang").pivot("source", mods).agg(F.max(F.lit(1))).na.fill(0, mods)
+
+
+@query("E20", "SELECT lang, string_agg(DISTINCT source, ',' ORDER BY source) AS mods, count(DISTINCT source) AS n FROM documents WHERE source IS NOT NULL GROUP BY 1")
+def sparse_mod_matrix(spark: SparkSession, sf: str) -> DataFrame:
     """The rows of the 0/1 matrix of languages and sources by the sources that are 1 in them, however many sources there are."""
     rows = table(spark, sf, "documents").where("source is not null").groupBy("lang", "source").agg(F.lit(1).alias("one"))
     return rows.groupBy("lang").agg(F.array_join(F.array_sort(F.collect_list("source")), ",").alias("mods"), F.count("*").alias("n"))
@@ -147,8 +155,9 @@ def penalized_model_rank(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def class_ranks(table: str, label: str, key: str, seed: int = ml.SEED) -> str:
-    """The shuffled order of each class (r, from 1) and its size (n), in SQL."""
-    return f"SELECT *, row_number() OVER (PARTITION BY {label} ORDER BY md5({key} || ':{seed}'), {key}) AS r, count(*) OVER (PARTITION BY {label}) AS n FROM {table}"
+    """The shuffled order of each class (r, from 1) and its size (n), in SQL: that of the MD5's first half, as a signed number."""
+    digits = f"substr(md5({key} || ':{seed}'), 1, 16)"
+    return f"SELECT *, row_number() OVER (PARTITION BY {label} ORDER BY {digits} < '8', {digits}, {key}) AS r, count(*) OVER (PARTITION BY {label}) AS n FROM {table}"
 
 
 @query("H04", f"SELECT doc_id, quality AS label FROM ({class_ranks('labels', 'quality', 'doc_id')}) WHERE quality <> 1 OR r <= (SELECT count(*) FROM labels WHERE quality = 0)")
@@ -169,7 +178,7 @@ def stratified_folds(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("F10", f"SELECT event_type, event_id FROM ({class_ranks('events', 'event_type', 'event_id', 7)}) WHERE r <= 10")
 def seeded_sample(spark: SparkSession, sf: str) -> DataFrame:
-    ranked = ml.with_class_rank(table(spark, sf, "events").select("event_type", "event_id"), "event_type", "event_id", 7)
+    ranked = ml.with_class_rank(table(spark, sf, "events").select("event_type", "event_id"), "event_type", "event_id", 7, ml.md5_order("event_id", 7))
     return ranked.where("__r <= 10").select("event_type", "event_id")
 
 
