@@ -448,9 +448,9 @@ def joined(spans: list[Span]) -> str:
 
 
 def detect(df: DataFrame, text: str = "text", *, keep: tuple[str, ...] = ("doc_id",), crf: Crf | None = None) -> DataFrame:
-    """``keep``, n_email, n_ip, n_card, n_phone, base_sha256 and spans."""
+    """``keep``, n_email, n_ip, n_card, n_phone (by the patterns), base_sha256, spans, and n_spans (of all spans, the model's included)."""
     kind = df.select(*keep).schema
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kind) + ", n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kind) + ", n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long"
     shared = df.sparkSession.sparkContext.broadcast(crf or trained())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -458,8 +458,8 @@ def detect(df: DataFrame, text: str = "text", *, keep: tuple[str, ...] = ("doc_i
             found = [find(t, shared.value) for t in texts]
             counts = [pa.array([sum(s[0] == k for s in base) for base, _ in found], pa.int64()) for k in BASE]
             hashes = pa.array([hashlib.sha256(joined(base).encode()).hexdigest() for base, _ in found])
-            columns = [batch.column(k) for k in keep] + [*counts, hashes, pa.array([joined(s) for _, s in found])]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *(f"n_{k}" for k in BASE), "base_sha256", "spans"])
+            columns = [batch.column(k) for k in keep] + [*counts, hashes, pa.array([joined(s) for _, s in found], pa.string()), pa.array([len(s) for _, s in found], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *(f"n_{k}" for k in BASE), "base_sha256", "spans", "n_spans"])
 
     return df.select(*dict.fromkeys((*keep, text))).mapInArrow(run, schema)
 

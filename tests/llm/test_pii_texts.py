@@ -85,3 +85,10 @@ def test_decoding_is_the_best_of_all_segmentations():
 
     best = max(every(0), key=value)
     assert crf.decode(text, units) == [(pii.TYPES[t], units[i][0], units[i + k][1]) for i, k, t in best if t]
+
+
+def test_all_spans_are_counted(spark):
+    rows = spark.createDataFrame([(1, "mail a.b@c.example.org and jane [at] example [dot] com"), (2, None), (3, "nothing here")], "doc_id int, text string")
+    found = {r.doc_id: (r.n_email, r.n_spans, r.spans) for r in pii.detect(rows).collect()}
+    assert found[1][:2] == (1, 2) and found[2] == found[3] == (0, 0, "")
+    assert all(n == len([s for s in spans.split(",") if s]) for _, n, spans in found.values())
