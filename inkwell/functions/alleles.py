@@ -109,22 +109,25 @@ def only_compared(paper: Paper, c: str) -> bool:
 
 
 def of_yeast(paper: Paper, c: str) -> bool:
+    """A deletion with a word for yeast, or a name beside one; the patterns are fixed values."""
     deleted = paper.has(rf"Δ{c}(?!\w)") and paper.has(YEAST_WORDS)
     return deleted or paper.has(rf"{c}\s+(?:yeast|S\.\s*cerevisiae)|(?:yeast|S\.\s*cerevisiae)\s+{c}")
 
 
 def mostly_figures(paper: Paper, c: str) -> bool:
+    """As many figures and panels of this label as genes with this allele; the patterns are fixed values."""
     panels = paper.count(rf"(?:Fig(?:ure)?\.?\s*\d+\s*|Panel\s+){c}(?!\d)")
     return panels > 0 and panels >= paper.count(rf"\w+-?\d*\s*\(\s*{c}\s*\)")
 
 
 def mostly_supplements(paper: Paper, c: str) -> bool:
+    """More supplements of this name than genes with this allele; the patterns are fixed values."""
     named = paper.count(rf"{SUPPLEMENT_WORDS}{c}(?!\d)")
     return named > 0 and named > paper.count(rf"[a-z]+-\d+\s*\(\s*{c}\s*\)")
 
 
 def looks_like_allele(text: str, candidate: str) -> bool:
-    """Named as gene(candidate), or (unless of one letter and one or two digits) near a word for alleles at its first mention."""
+    """Named as gene(candidate), or (unless of one letter and one or two digits) near a word for alleles at its first mention; the patterns and reaches are fixed values."""
     if not text or not candidate:
         return False
     low, c = text.lower(), re.escape(candidate.lower())
@@ -150,6 +153,7 @@ def unlike_allele(paper: Paper, c: str) -> bool:
     return not looks_like_allele(paper.text, re.sub(r"\\(.)", r"\1", c))
 
 
+# The rules' names, and the patterns of names and evidence.
 RULES = (
     Rule("transgene marker", r"[a-z]{1,4}Is\d+", rf"{{c}}.{{{{0,50}}}}{MARKER_WORDS}|{MARKER_WORDS}.{{{{0,50}}}}{{c}}"),
     Rule("extrachromosomal array", r"[a-z]{1,4}Ex\d+", rf"{{c}}.{{{{0,50}}}}{MARKER_WORDS}|{MARKER_WORDS}.{{{{0,50}}}}{{c}}"),

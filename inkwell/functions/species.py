@@ -27,6 +27,7 @@ GENUS_OF = {
     "elegans": "Caenorhabditis", "melanogaster": "Drosophila", "rerio": "Danio", "musculus": "Mus",
     "norvegicus": "Rattus", "cerevisiae": "Saccharomyces", "pombe": "Schizosaccharomyces",
 }
+# Fixed value: an initial that a closing tag parts from its epithet.
 SPLIT_INITIAL = re.compile(r"([A-Z])\.\s*</[^>]+>\s*([a-z])")
 
 

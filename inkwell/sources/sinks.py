@@ -49,6 +49,7 @@ def on_top(new: DataFrame, old: DataFrame, line: str = "value") -> DataFrame:
     return new.select(F.lit(0).alias("part"), line).unionByName(old.select(F.lit(1).alias("part"), line))
 
 
+# topics' flags and departments.
 FLAGS = {"ATP:0000152": "disease", "ATP:0000013": "new_transg", "ATP:0000006": "new_al", "ATP:0000069": "phys_int", "ATP:0000207": "nocur", "ATP:0000005": "gene"}
 DEPARTMENTS = {"ATP:0000152": "dis", "ATP:0000013": "cam", "ATP:0000006": "cam", "ATP:0000069": "harv", "ATP:0000207": "cam", "ATP:0000005": "cam"}
 
