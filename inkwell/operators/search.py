@@ -41,6 +41,8 @@ SEED = 42
 SEARCH_JOBS = 4
 #: Rows that a search is made with at most.
 MOST_ROWS = 5000
+#: Rows that a task of a search has.
+ROWS_A_TASK = 500
 #: Features beyond which rows count as wide.
 WIDE = 1 << 14
 Space = dict[str, Any]
@@ -129,7 +131,9 @@ class Rows:
         split = ml.stratified_split(data.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"), F.col(features).alias("features")), "label", "key", seed=seed)
         training = ml.folds(split.where("not held_out").drop("held_out"), "label", "key", k, seed)
         held = split.where("held_out").drop("held_out").withColumn("fold", F.lit(linear.HELD))
-        self.data = stored(training.union(held.select(*training.columns)).withColumn("x", vector_to_array("features")), "search")
+        whole = training.union(held.select(*training.columns)).withColumn("x", vector_to_array("features"))
+        # A bounded sample: dealt out so that no task has many of its rows, nor many tasks a few.
+        self.data = stored(whole.repartition(max(1, data.count() // ROWS_A_TASK)), "search")
         self.folds = list(range(k))
         self.training, self.test = self.data.where(F.col("fold") != linear.HELD), self.data.where(F.col("fold") == linear.HELD)
         counts = {r["label"]: r["count"] for r in self.training.groupBy("label").count().collect()}  # a row for each class
@@ -162,7 +166,8 @@ def linear_searches(rows: Rows, settings: dict[str, list[Space]], steps: int) ->
             gamma = kernels.gamma_of(setting["gamma"], rows.training, "x", marks.shape[1])
             maps[setting["gamma"]] = f"x{len(maps)}", kernels.RadialMap(marks, gamma)
     if maps:
-        data = stored(data.select("label", "fold", "x", *[m.column(F.col("x")).alias(name) for name, m in maps.values()]), "kernels")
+        mapped = [m.column(F.col("x")).cast("array<float>").alias(name) for name, m in maps.values()]
+        data = stored(data.select("label", "fold", "x", *mapped), "kernels")
     column = lambda s: maps[s["gamma"]][0] if s.get("kernel") == "rbf" else "x"
     sizes = {r["fold"]: r["count"] for r in rows.training.groupBy("fold").count().collect()}
     drawn = [(family, setting) for family, own in settings.items() for setting in own]

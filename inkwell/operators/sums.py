@@ -27,8 +27,12 @@ def _added(arrays: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
         yield total
 
 
+#: Rows that are worked on at a time.
+STEP = 1024
+
+
 def batch_sums(rows: DataFrame, of: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray | None:
-    """The sum over all Arrow batches of ``of(batch)``, a flat array of one length; none without rows.
+    """The sum over all rows, in batches of ``STEP`` at most, of ``of(batch)``, a flat array of one length; none without rows.
 
     Only one array a task leaves it, and only the sum reaches the driver.
     """
@@ -36,8 +40,8 @@ def batch_sums(rows: DataFrame, of: Callable[[pa.RecordBatch], np.ndarray]) -> n
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
-            if batch.num_rows:
-                total = _plus(total, np.asarray(of(batch), dtype=np.float64))
+            for k in range(0, batch.num_rows, STEP):
+                total = _plus(total, np.asarray(of(batch.slice(k, STEP)), dtype=np.float64))
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["s"])
 
