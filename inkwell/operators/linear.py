@@ -29,6 +29,8 @@ from inkwell.operators.sums import batch_sums, matrix
 #: The fold of rows that no problem is trained on.
 HELD = -1
 ROUNDED = 0.1
+#: Rows that a task of a pass has at least, but for the last.
+ROWS_A_TASK = 500
 #: Steps of power iteration, and how much larger than its result a curvature may be.
 POWER_STEPS, MARGIN = 12, 1.2
 
@@ -78,7 +80,6 @@ class Bulk:
     def __init__(self, rows: DataFrame, problems: list[Problem]):
         self.problems = problems
         self.columns = list(dict.fromkeys(p.features for p in problems))
-        self.rows = rows.select(*self.columns, F.col("label").cast("int"), F.col("fold").cast("int"))
         self.by = {c: [j for j, p in enumerate(problems) if p.features == c] for c in self.columns}
         sizes = rows.groupBy("label", "fold").count().collect()  # classes x folds
         own = lambda c, f: sum(r["count"] for r in sizes if r["label"] == c and r["fold"] not in (HELD, f))
@@ -86,6 +87,9 @@ class Bulk:
         total = np.maximum(self.counts.sum(axis=0), 1)
         balance = np.where([p.balanced for p in problems], total / np.maximum(2 * self.counts, 1), 1.0)
         self.weighting = Weighting([p.loss for p in problems], balance / total, np.array([HELD if p.fold is None else p.fold for p in problems]))
+        # A pass reads all rows, so it should not consist of many tasks of a few rows each.
+        own_rows = rows.select(*self.columns, F.col("label").cast("int"), F.col("fold").cast("int"))
+        self.rows = own_rows.coalesce(max(1, sum(r["count"] for r in sizes) // ROWS_A_TASK))
         sizes = rows.agg(*[F.max(F.size(c)).alias(c) for c in self.columns]).first()
         self.dims = {c: (sizes[c] or 0) + 1 for c in self.columns}
 
